@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 def fixed(value: Column | str, places: int) -> Column:
     """Round half-up on the decimal digits, as a double.
 
-    Going through DECIMAL drops the noise a distributed sum leaves in the last bits, so a value on
-    a rounding edge comes out the same whatever the order of summation was.
+    Going through a DECIMAL with three more places drops the noise a distributed sum leaves in the
+    last bits, so a value on a rounding edge comes out the same whatever the order of summation was.
     """
     column = F.col(value) if isinstance(value, str) else value
-    return F.round(column.cast("decimal(38,12)"), places).cast("double")
+    return F.round(column.cast(f"decimal(38,{places + 3})"), places).cast("double")
 
 
 def numeric(value: Column | str) -> Column:

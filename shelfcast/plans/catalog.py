@@ -152,10 +152,15 @@ def run_sql_catalog(spark, folder):
     return frames[0].unionByName(frames[1]).unionByName(frames[2])
 
 
+CATEGORY_SQL = (
+    f"SELECT category, sum(quantity) AS total_units, {oracle.fx('sum(quantity * price)', 2)} AS "
+    "total_revenue, count(DISTINCT product_id) AS n_products FROM sales GROUP BY category"
+)
+
+
 @register(
     "write_report", "category total_units:i total_revenue:2 n_products:i",
-    "SELECT category, sum(quantity) AS total_units, sum(quantity * price) AS total_revenue, "
-    "count(DISTINCT product_id) AS n_products FROM sales GROUP BY category",
+    CATEGORY_SQL,
     "sales",
 )
 def write_report(spark, folder):
@@ -412,11 +417,14 @@ def _sales(run):
 
 def _units_by(keys: str, tail: str = "") -> str:
     return (
-        f"SELECT {keys}, sum(quantity) AS total_units, sum(quantity * price) AS total_revenue "
-        f"FROM sales GROUP BY ALL {tail}"
+        f"SELECT {keys}, sum(quantity) AS total_units, "
+        f"{oracle.fx('sum(quantity * price)', 2)} AS total_revenue FROM sales GROUP BY ALL {tail}"
     )
 
 
+GROWTH = oracle.fx(
+    "100.0::DOUBLE * (total_units - prev_month_units) / nullif(prev_month_units, 0)", 2
+)
 register(
     "q1_monthly_sales", "year_month total_units:i total_revenue:2",
     _units_by("strftime(date, '%Y-%m') AS year_month"), "sales",
@@ -427,8 +435,7 @@ register(
 )(_sales(sales_queries.top_products))
 register(
     "q3_top_categories", "category total_units:i total_revenue:2 n_products:i",
-    "SELECT category, sum(quantity) AS total_units, sum(quantity * price) AS total_revenue, "
-    "count(DISTINCT product_id) AS n_products FROM sales GROUP BY category",
+    CATEGORY_SQL,
     "sales",
 )(_sales(sales_queries.top_categories))
 register(
@@ -448,24 +455,24 @@ register(
 )(_sales(sales_queries.average_daily_demand))
 register(
     "q6_monthly_growth", "year_month total_units:i prev_month_units:i mom_growth_pct:2",
-    "SELECT *, 100.0::DOUBLE * (total_units - prev_month_units) / nullif(prev_month_units, 0) "
-    "AS mom_growth_pct FROM (SELECT *, lag(total_units) OVER (ORDER BY year_month) AS "
+    f"SELECT *, {GROWTH} AS mom_growth_pct FROM (SELECT *, lag(total_units) OVER (ORDER BY year_month) AS "
     "prev_month_units FROM (SELECT strftime(date, '%Y-%m') AS year_month, "
     "CAST(sum(quantity) AS BIGINT) AS total_units FROM sales GROUP BY ALL))",
     "sales",
 )(_sales(sales_queries.monthly_growth))
 register(
     "q7_weekday_demand", "weekday weekday_num:i avg_units:2 total_units:i",
-    "SELECT dayname(date) AS weekday, dayofweek(date) AS weekday_num, avg(quantity) AS avg_units, "
-    "sum(quantity) AS total_units FROM sales GROUP BY ALL",
+    f"SELECT dayname(date) AS weekday, dayofweek(date) AS weekday_num, "
+    f"{oracle.fx('avg(quantity)', 2)} AS avg_units, sum(quantity) AS total_units FROM sales GROUP BY ALL",
     "sales",
 )(_sales(sales_queries.weekday_demand))
 
 
 def _declining_sql(edge: int, start: int) -> str:
     return f"""
-    SELECT product_id, prior AS avg_daily_prior_90d, recent AS avg_daily_recent_90d,
-           recent - prior AS change,
+    SELECT product_id, {oracle.fx("prior", 2)} AS avg_daily_prior_90d,
+           {oracle.fx("recent", 2)} AS avg_daily_recent_90d,
+           {oracle.fx("recent - prior", 2)} AS change,
            {oracle.fx("100.0::DOUBLE * (recent - prior) / nullif(prior, 0)", 2)} AS pct_change
     FROM (SELECT product_id, avg(quantity) FILTER (date >= m - {edge}) AS recent,
                  avg(quantity) FILTER (date < m - {edge} AND date >= m - {start}) AS prior
@@ -491,8 +498,13 @@ register(
 
 @register(
     "q10_rolling_7d", "date product_id daily_units:2 rolling_7d_avg_units:2",
-    "SELECT date, product_id, quantity AS daily_units, avg(quantity) OVER (PARTITION BY product_id "
-    "ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS rolling_7d_avg_units FROM model",
+    "SELECT date, product_id, quantity AS daily_units, "
+    + oracle.fx(
+        "avg(quantity) OVER (PARTITION BY product_id ORDER BY date "
+        "ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)",
+        2,
+    )
+    + " AS rolling_7d_avg_units FROM model",
     "model",
 )
 def q10_rolling_7d(spark, folder):
@@ -502,8 +514,7 @@ def q10_rolling_7d(spark, folder):
 register(
     "q11_product_growth",
     "year_month product_id category total_units:i prev_month_units:i mom_growth_pct:2",
-    "SELECT *, 100.0::DOUBLE * (total_units - prev_month_units) / nullif(prev_month_units, 0) "
-    "AS mom_growth_pct FROM (SELECT *, lag(total_units) OVER (PARTITION BY product_id "
+    f"SELECT *, {GROWTH} AS mom_growth_pct FROM (SELECT *, lag(total_units) OVER (PARTITION BY product_id "
     "ORDER BY year_month) AS prev_month_units FROM (SELECT strftime(date, '%Y-%m') AS year_month, "
     "product_id, category, CAST(sum(quantity) AS BIGINT) AS total_units FROM sales GROUP BY ALL))",
     "sales",
@@ -931,10 +942,14 @@ def best_model(spark, folder):
 EVALUATE_LIST = "mae:3 rmse:3 smape_pct:2"
 
 
+SMAPE_EPS = "avg(2 * absolute_error / (abs(quantity) + abs(prediction) + 1)) * 100"
+
+
 def _evaluate_sql(keys: str, source: str = "errors", extra: str = "") -> str:
     return f"""SELECT {keys + "," if keys else ""}
-        avg(absolute_error) AS mae, sqrt(avg(squared_error)) AS rmse,
-        avg(2 * absolute_error / (abs(quantity) + abs(prediction) + 1)) * 100 AS smape_pct {extra}
+        {oracle.fx("avg(absolute_error)", 3)} AS mae,
+        {oracle.fx("sqrt(avg(squared_error))", 3)} AS rmse,
+        {oracle.fx(SMAPE_EPS, 2)} AS smape_pct {extra}
         FROM {source} GROUP BY ALL"""
 
 
@@ -1177,10 +1192,11 @@ register(
     oracle.portfolio("z_score"), "kpis", THREE,
 )(lambda spark, folder: policy.z_sensitivity(*_policy_inputs(spark, folder)))
 COST_SQL = f"""
-    SELECT *, total_average_inventory * test_days * 1.00 AS holding_cost,
-           total_lost_units * 20.00 AS stockout_cost, total_units_ordered * 0.10 AS ordering_cost,
-           total_average_inventory * test_days * 1.00 + total_lost_units * 20.00
-               + total_units_ordered * 0.10 AS total_cost
+    SELECT *, {oracle.fx("total_average_inventory * test_days * 1.00", 2)} AS holding_cost,
+           {oracle.fx("total_lost_units * 20.00", 2)} AS stockout_cost,
+           {oracle.fx("total_units_ordered * 0.10", 2)} AS ordering_cost,
+           {oracle.fx("total_average_inventory * test_days * 1.00 + total_lost_units * 20.00"
+                      " + total_units_ordered * 0.10", 2)} AS total_cost
     FROM ({oracle.portfolio("z_score")})"""
 register("cost_table", COSTS, COST_SQL, "kpis", THREE)(
     lambda spark, folder: policy.cost_table(

@@ -258,7 +258,7 @@ def offset(places: int) -> float:
 
 
 def fx(expression: str, places: int) -> str:
-    return f"CAST(round(CAST({expression} AS DECIMAL(38,12)), {places}) AS DOUBLE)"
+    return f"CAST(round(CAST({expression} AS DECIMAL(38,{places + 3})), {places}) AS DOUBLE)"
 
 
 KPIS = f"""
