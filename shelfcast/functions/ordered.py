@@ -21,25 +21,40 @@ def _range_count(df: DataFrame) -> int:
     return max(32, min(partitions, 512))
 
 
-def _ranged_counts(df: DataFrame, keys: Sequence[str], value: str, ranges: int | None) -> DataFrame:
+def _ranged_counts(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    ranges: int | None = None,
+    weight: str | None = None,
+) -> DataFrame:
     """Distinct (keys, value) with row count ``_n`` and ordered range number ``_range``."""
     present = df.where(F.col(value).isNotNull())
     for key in keys:
         present = present.where(F.col(key).isNotNull())
-    counts = present.groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    rows = F.sum(weight) if weight else F.count("*")
+    counts = present.groupBy(*keys, value).agg(rows.alias("_n"))
     pair = F.struct(*keys, value)
+    limit = ranges or _range_count(df)
+    # The condition on the count is always true: it keeps the sampled plan equal to the plan that is
+    # ranked, so that the counting shuffle runs once and is reused.
     splitters = (
-        counts.select(pair.alias("_pair"))
+        counts.where("_n > 0")
+        .select(pair.alias("_pair"))
         .orderBy(F.xxhash64("_pair"))
-        .limit(ranges or _range_count(df))
+        .limit(limit)
         .agg(F.array_sort(F.collect_list("_pair")))
         .scalar()
     )
-    return (
-        counts.withColumn("_splitters", splitters)
-        .withColumn("_range", F.size(F.filter("_splitters", lambda s: s < pair)))
-        .drop("_splitters")
-    )
+    # Splitters below the pair, found by halving: plain expressions that stay in generated code. The
+    # range is never null, or joins on it would push a null test on it below the counting.
+    ranged = counts.withColumns({"_splitters": splitters, "_pair": pair, "_range": F.lit(0)})
+    for bit in reversed(range(limit.bit_length())):
+        probe = F.get("_splitters", F.col("_range") + ((1 << bit) - 1))
+        ranged = ranged.withColumn(
+            "_range", F.col("_range") + F.when(probe < F.col("_pair"), 1 << bit).otherwise(0)
+        )
+    return ranged.drop("_splitters", "_pair")
 
 
 def _range_totals(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -96,12 +111,14 @@ def grouped_quantiles(
     value: str,
     probs: dict[str, float],
     ranges: int | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """Exact linearly interpolated quantiles, one row per key and one column per entry of ``probs``.
 
-    Only the ranges that hold a wanted position are sorted.
+    Only the ranges that hold a wanted position are sorted. ``weight`` names a column with the
+    number of rows each input row stands for.
     """
-    counts = _ranged_counts(df, keys, value, ranges)
+    counts = _ranged_counts(df, keys, value, ranges, weight)
     totals = _range_totals(counts, keys)
 
     def low(p: float):

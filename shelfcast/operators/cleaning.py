@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from shelfcast.functions.numeric import numeric
 from shelfcast.functions.ordered import grouped_quantiles
+from shelfcast.functions.sharing import counted_once
 
 SALES_KEY = ("date", "product_id", "store", "region")
 
@@ -65,13 +66,8 @@ def profile_describe(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
             ]
         )
     )
-    counted = (
-        df.select(cells.alias("cell"))
-        .select("cell.*")
-        .where(F.col("text").isNotNull())
-        .groupBy("column_name", "text", "number")
-        .agg(F.count("*").alias("n"))
-    )
+    present = df.select(cells.alias("cell")).select("cell.*").where(F.col("text").isNotNull())
+    counted = counted_once(present, ["column_name", "text", "number"], "n")
     weight = F.col("n").cast("double")
     total = F.sum(F.when(F.col("number").isNotNull(), weight))
     mean = F.try_divide(F.sum(F.col("number") * weight), total)
@@ -99,10 +95,7 @@ def profile_describe(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
         )
     )
     quartiles = grouped_quantiles(
-        df.select(cells.alias("cell")).select("cell.column_name", "cell.number"),
-        ["column_name"],
-        "number",
-        {"q25": 0.25, "q50": 0.5, "q75": 0.75},
+        counted, ["column_name"], "number", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, weight="n"
     )
     return (
         summary.join(spread, "column_name", "left")
@@ -183,18 +176,14 @@ def drop_negative(df: DataFrame) -> DataFrame:
 def impute_median_price(df: DataFrame) -> DataFrame:
     """Replace a missing price by the product's exact median price.
 
-    Only rows without a price meet the medians, and only their products' medians are computed; the
-    other rows pass through without a shuffle, so a product with most of the rows cannot make one
-    join task slow.
+    Only rows without a price meet the medians; the other rows pass through without a shuffle, so a
+    product with most of the rows cannot make one join task slow. ``df`` is read by three branches:
+    give a table, or a plan whose shuffle the branches can share, as :func:`clean_sales` does.
     """
     priced = df.where(F.col("price").isNotNull())
     unpriced = df.where(F.col("price").isNull())
-    wanted = unpriced.select("product_id").distinct()
     medians = grouped_quantiles(
-        priced.select("product_id", "price").join(wanted, "product_id", "left_semi"),
-        ["product_id"],
-        "price",
-        {"median_price": 0.5},
+        priced.select("product_id", "price"), ["product_id"], "price", {"median_price": 0.5}
     )
     filled = (
         unpriced.drop("price")
@@ -204,15 +193,26 @@ def impute_median_price(df: DataFrame) -> DataFrame:
     return priced.unionByName(filled.select(*df.columns))
 
 
+def valid_rows(df: DataFrame, cutoff: str) -> DataFrame:
+    """The rows that the date, target and sign rules keep, with the date still as text."""
+    in_time = parsed_date() <= F.lit(cutoff).cast("date")
+    return drop_negative(drop_missing_target(df.where(in_time)))
+
+
 def clean_sales(df: DataFrame, cutoff: str) -> DataFrame:
-    """Copies first, then dates, target and negative values, then prices; quantity as integer."""
-    kept = drop_negative(drop_missing_target(drop_bad_dates(drop_duplicates(df), cutoff)))
+    """Copies, dates, target and negative values, then prices; quantity as integer.
+
+    Copies are rows that agree in every column before any parsing. The row rules treat copies
+    alike, so they run first and less data is shuffled.
+    """
+    single = counted_once(valid_rows(df, cutoff), df.columns, "_copies").drop("_copies")
+    kept = single.withColumn("date", parsed_date())
     return impute_median_price(kept).withColumn("quantity", F.col("quantity").cast("bigint"))
 
 
 def cleaning_report(raw: DataFrame, cutoff: str) -> DataFrame:
     """Rows before and after cleaning; imputation changes no row count, so it is not run here."""
-    kept = drop_negative(drop_missing_target(drop_bad_dates(drop_duplicates(raw), cutoff)))
+    kept = drop_duplicates(valid_rows(raw, cutoff))
     after = kept.agg(F.count("*")).scalar()
     return raw.agg(F.count("*").alias("rows_before")).select(
         "rows_before",
