@@ -54,10 +54,14 @@ def ridge_fitter(
 
     def fit(train: DataFrame) -> PipelineModel:
         size = train.agg(
-            F.count("*").alias("rows"), F.stddev_samp(label).alias("spread")
+            F.count("*").alias("rows"), F.stddev_pop(label).alias("spread")
         ).first()
-        # The solver works on the label divided by its deviation and scales the penalty with it.
+        # The solver divides the label by its deviation, and the penalty with it. The scaler uses
+        # the sample deviation, so weights of features scaled by the population deviation, which
+        # the penalty is meant for, are smaller by (n - 1) / n in their squares.
         penalty = alpha / size["rows"] * (size["spread"] or 1.0)
+        if scaled:
+            penalty *= 1 - 1 / size["rows"]
         stages = [_assembler(columns)]
         if scaled:
             stages[0].setOutputCol("raw_features")
