@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import pandas as pd
 import pytest
+from plans import executed, scans
 from pyspark.sql import functions as F
 
 from shelfcast.functions import contracts
@@ -50,10 +51,9 @@ def test_cleaning_in_order(raw):
 
 def test_branches_share_one_scan_and_one_shuffle(spark, folder):
     clean = cleaning.clean_sales(standin.sales_raw(spark, folder), "2001-11-04")
-    clean.collect()
-    plan = clean._jdf.queryExecution().executedPlan().toString()
-    final = plan.split("== Initial Plan ==")[0]
-    assert final.count("lineitem.parquet") <= 1, final
+    plan = executed(clean)
+    assert scans(plan, "lineitem") == 1, plan
+    assert "ReusedExchange" in plan
 
 
 def test_profile(raw):
