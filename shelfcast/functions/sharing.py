@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -20,3 +20,12 @@ def counted_once(df: DataFrame, columns: Sequence[str], count: str) -> DataFrame
     return counted.select(
         *[F.when(F.col(count) > 0, F.col(name)).alias(name) for name in columns], count
     )
+
+
+def tied(column: str, other: str) -> Column:
+    """``column`` in a form that also reads ``other``.
+
+    A branch that needs only some of the aggregates would otherwise compute just those, in a shuffle
+    of its own. The condition holds for every row: a hash is never below the smallest integer.
+    """
+    return F.when(F.xxhash64(column, other) >= F.lit(-(2**63)), F.col(column)).alias(column)

@@ -45,5 +45,7 @@ def latest(df: DataFrame, day: str = "date") -> Column:
     return df.agg(F.max(day)).scalar()
 
 
-def earliest(df: DataFrame, day: str = "date") -> Column:
-    return df.agg(F.min(day)).scalar()
+def date_span(df: DataFrame, day: str = "date") -> tuple[Column, Column]:
+    """First and last day of ``df``, from one scalar subquery that both columns share."""
+    span = df.agg(F.struct(F.min(day).alias("first"), F.max(day).alias("last"))).scalar()
+    return span["first"], span["last"]

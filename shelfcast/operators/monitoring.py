@@ -129,23 +129,30 @@ def monitoring_report(
 
 def monitoring_summary(benchmark: DataFrame, predictions: DataFrame) -> DataFrame:
     """Row counts, holdout rows, missing and negative predictions, in one row."""
-    holdout = benchmark.agg(F.sum("is_final_test")).scalar()
-    rows = benchmark.agg(F.count("*")).scalar()
+    rows = benchmark.agg(
+        F.struct(F.count("*").alias("rows"), F.sum("is_final_test").alias("holdout"))
+    ).scalar()
     return predictions.agg(
         F.count("*").alias("prediction_rows"),
         F.count_if(F.col("prediction").isNull()).alias("missing_predictions"),
         F.count_if(F.col("prediction") < 0).alias("negative_predictions"),
-    ).select(rows.alias("benchmark_rows"), holdout.alias("final_test_rows"), "*")
+    ).select(
+        rows["rows"].alias("benchmark_rows"), rows["holdout"].alias("final_test_rows"), "*"
+    )
+
+
+# The labels of the summary text.
+SUMMARY_LABELS = {
+    "benchmark_rows": "Benchmark rows",
+    "final_test_rows": "Final-test rows",
+    "prediction_rows": "Prediction rows",
+    "missing_predictions": "Missing predictions",
+    "negative_predictions": "Negative predictions",
+}
 
 
 def monitoring_summary_text(summary: DataFrame) -> DataFrame:
     """The summary as lines of text, one row per line, ready for ``df.write.text``."""
-    line = F.concat_ws(
-        "\n",
-        F.concat(F.lit("Benchmark rows: "), F.col("benchmark_rows")),
-        F.concat(F.lit("Final-test rows: "), F.col("final_test_rows")),
-        F.concat(F.lit("Prediction rows: "), F.col("prediction_rows")),
-        F.concat(F.lit("Missing predictions: "), F.col("missing_predictions")),
-        F.concat(F.lit("Negative predictions: "), F.col("negative_predictions")),
-    )
-    return summary.select(F.explode(F.split(line, "\n")).alias("value"))
+    counts = summary.unpivot([], list(SUMMARY_LABELS), "name", "n")
+    label = F.create_map(*[F.lit(x) for pair in SUMMARY_LABELS.items() for x in pair])
+    return counts.select(F.concat_ws(": ", label[F.col("name")], "n").alias("value"))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.functions.timegrid import earliest, latest
+from shelfcast.functions.timegrid import date_span
 
 LAGS = (1, 7, 14, 28)
 WINDOWS = (7, 14, 28)
@@ -124,7 +124,7 @@ def build_panel(sales: DataFrame) -> DataFrame:
     known = sales.where(
         F.col("product_id").isNotNull() & F.col("category").isNotNull()
     )
-    grid = complete_panel(daily_aggregate(sales), earliest(known), latest(known))
+    grid = complete_panel(daily_aggregate(sales), *date_span(known))
     return zero_fill(fill_forward(grid)).select(*PANEL_COLUMNS)
 
 

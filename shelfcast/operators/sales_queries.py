@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.numeric import fixed, ratio
 from shelfcast.functions.ordered import ranked_values
+from shelfcast.functions.sharing import tied
 from shelfcast.functions.timegrid import latest
 
 
@@ -147,12 +148,19 @@ def category_rank(sales: DataFrame) -> DataFrame:
     A window by category would sort a large category in one task, so the ranks come from counted
     unit totals and are joined back.
     """
-    products = sales.groupBy("product_id", "category").agg(_units(), _revenue())
-    ranks = ranked_values(products, ["category"], "total_units").select(
+    products = sales.groupBy("product_id", "category").agg(
+        _units(), F.sum(F.col("quantity") * F.col("price")).alias("total_revenue")
+    )
+    units = products.select("category", tied("total_units", "total_revenue"))
+    ranks = ranked_values(units, ["category"], "total_units").select(
         "category", "total_units", (F.col("n_after") + 1).alias("category_rank")
     )
     return products.join(ranks, ["category", "total_units"]).select(
-        "product_id", "category", "total_units", "total_revenue", "category_rank"
+        "product_id",
+        "category",
+        "total_units",
+        fixed("total_revenue", 2).alias("total_revenue"),
+        "category_rank",
     )
 
 

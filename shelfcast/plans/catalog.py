@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions import contracts, metrics
 from shelfcast.functions.numeric import fixed
+from shelfcast.functions.timegrid import date_span
 from shelfcast.functions.workspace import new_folder
 from shelfcast.operators import (
     benchmark, cleaning, eda, errors, intervals, models, monitoring, panel, policy, sales_queries,
@@ -613,12 +614,7 @@ FEATURE_LIST = f"{PANEL_LIST} {LAG_LIST} {ROLLING_LIST} {CALENDAR_LIST}"
 
 
 def _grid(sales: DataFrame) -> DataFrame:
-    span = panel.calendar_spine(sales)
-    return panel.complete_panel(
-        panel.daily_aggregate(sales),
-        span.agg(F.min("date")).scalar(),
-        span.agg(F.max("date")).scalar(),
-    )
+    return panel.complete_panel(panel.daily_aggregate(sales), *date_span(sales))
 
 
 def _panel(run):
@@ -848,7 +844,14 @@ def score_requests(spark, folder):
     )
 
 
-@register("score_requests_stream", "outcome n_rows:i n_requests:i")
+@register(
+    "score_requests_stream", "outcome n_rows:i n_requests:i",
+    """SELECT CASE WHEN dayofyear(date) % 50 IN (1, 2, 3) OR (dayofyear(date) % 50 = 4 AND price > 0)
+                   THEN 'rejected' ELSE 'accepted' END AS outcome,
+              count(*) AS n_rows, count(DISTINCT (product_id, date)) AS n_requests
+       FROM model GROUP BY ALL""",
+    "model",
+)
 def score_requests_stream(spark, folder):
     base = new_folder(spark, "requests")
     columns = [f.name for f in scoring.REQUEST_SCHEMA.fields]

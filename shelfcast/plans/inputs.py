@@ -73,11 +73,16 @@ def policy_test(spark: SparkSession, folder: str) -> DataFrame:
 
 def monitored(spark: SparkSession, folder: str) -> DataFrame:
     """The panel under the names the monitoring checks use, with the 28-day holdout marked."""
-    table = full_features(spark, folder).select(
-        F.col("product_id").alias("id"), "date", F.col("quantity").alias("demand"),
-        "price", "discount", "promotion", "holiday", "lag_1", "lag_7", "lag_14", "lag_28",
-    )
-    return splits.final_flag(table, last=last_day(spark, folder))
+
+    def build() -> DataFrame:
+        table = full_features(spark, folder).select(
+            F.col("product_id").alias("id"), "date", F.col("quantity").alias("demand"),
+            "price", "discount", "promotion", "holiday", "lag_1", "lag_7", "lag_14", "lag_28",
+        )
+        flagged = splits.final_flag(table, last=last_day(spark, folder))
+        return materialize(flagged, "monitored")
+
+    return _keep(spark, folder, "monitored", build)
 
 
 def two_models(table: DataFrame, *extra: str) -> DataFrame:
