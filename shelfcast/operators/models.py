@@ -208,7 +208,7 @@ def cross_validate(
     models: Mapping[str, Fitter] | None = None,
     n_folds: int = 4,
     days: int = 60,
-    parallelism: int = 2,
+    parallelism: int = 4,
 ) -> DataFrame:
     """Out-of-fold predictions of the naive and every trained model, in long form.
 
@@ -298,7 +298,7 @@ def final_test_metrics(scored: DataFrame, model: str = BOOSTING) -> DataFrame:
 
 def holdout_predictions(
     features: DataFrame, models: Mapping[str, Fitter] | None = None, days: int = 60,
-    parallelism: int = 2,
+    parallelism: int = 4,
 ) -> DataFrame:
     """Holdout predictions of the naive and every trained model, in long form."""
     development, holdout = holdout_frames(features, days)

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.functions.metrics import evaluate_benchmark
-from shelfcast.functions.timegrid import latest
 from shelfcast.functions.workspace import materialize
 from shelfcast.operators import benchmark, models, panel, splits
 from shelfcast.sources import standin
@@ -43,13 +42,20 @@ def full_features(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def last_day(spark: SparkSession, folder: str) -> Column:
-    return latest(standin.sales(spark, folder))
+    """The last date of the sales, fetched once, so that filters on it are literals."""
+    return F.lit(
+        _keep(
+            spark, folder, "last_day",
+            lambda: standin.sales(spark, folder).agg(F.max("date")).first()[0],
+        )
+    )
 
 
 def naive_holdout(spark: SparkSession, folder: str) -> DataFrame:
     """Holdout rows predicted by the value of a week before."""
-    split = splits.holdout_split(features(spark, folder), last=last_day(spark, folder))
-    return split.where("split = 'test'").drop("split").withColumn("prediction", F.col("lag_7"))
+    start = F.date_sub(last_day(spark, folder), splits.HOLDOUT_DAYS - 1)
+    holdout = features(spark, folder).where(F.col("date") >= start)
+    return holdout.withColumn("prediction", F.col("lag_7"))
 
 
 def naive_oof(spark: SparkSession, folder: str) -> DataFrame:
