@@ -76,7 +76,7 @@ def require_calendar_coverage(calendar: DataFrame, day_columns: Sequence[str]) -
     found = calendar_coverage(calendar, day_columns).first()
     if found["calendar_rows"] != len(day_columns) or found["calendar_days"] != len(day_columns):
         raise ValueError(
-            f"Unexpected calendar length: {found['calendar_rows']}; expected {len(day_columns)}"
+            f"The calendar has {found['calendar_rows']} rows for {len(day_columns)} observed days"
         )
     return calendar
 
@@ -227,7 +227,7 @@ def recent_history(daily: DataFrame, train_end: object, days: int = HISTORY) ->
         "id",
         F.when(F.size("history") == days, F.col("history"))
         .otherwise(
-            F.raise_error(F.concat(F.lit("Insufficient history for series "), "id")).cast("array<double>")
+            F.raise_error(F.concat(F.lit("Too little history for series "), "id")).cast("array<double>")
         )
         .alias("history"),
     )

@@ -17,7 +17,7 @@ def residual_quantile(
     """The ``level`` quantile of the absolute finite residuals, as a one-row table."""
     sizes = residuals.select(F.abs(numeric(column)).alias("residual")).where("residual IS NOT NULL")
     if check and sizes.isEmpty():
-        raise ValueError("No valid residuals available for uncertainty calibration.")
+        raise ValueError("No finite residual to take a quantile of.")
     return grouped_quantiles(sizes, [], "residual", {"residual_quantile": level})
 
 

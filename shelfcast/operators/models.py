@@ -144,7 +144,7 @@ def load_model(spark: SparkSession, path: str) -> PipelineModel:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not files.exists(target):
-        raise FileNotFoundError(f"Production model not found: {path}. Train it first.")
+        raise FileNotFoundError(f"No saved pipeline at {path}")
     return PipelineModel.load(path)
 
 
@@ -340,15 +340,18 @@ def permutation_importance(
 ) -> DataFrame:
     """Mean rise of the MAE when one feature is shuffled.
 
-    The rows are dealt at random into ``groups`` even groups. Within a group, in a random order per
+    The rows are dealt at random into even groups, by default of at least 5000 rows: large enough
+    to shuffle well, small enough for one task. Within a group, in a random order per
     repeat, each row takes a feature value from the next row (the last from the first), which is a
     random permutation of the group, so no global row number and no join back is needed. One
     shuffle serves all features and repeats; each row is then scored once per feature.
     """
-    partitions = int(holdout.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if groups is None:
+        partitions = int(holdout.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        groups = max(1, min(partitions, holdout.count() // 5000))
     dealt = holdout.select("product_id", "date", TARGET, *columns).withColumn(
         "_group",
-        F.pmod(F.xxhash64("product_id", "date", F.lit(seed)), F.lit(groups or partitions)),
+        F.pmod(F.xxhash64("product_id", "date", F.lit(seed)), F.lit(groups)),
     )
     variants = []
     for repeat in range(repeats):

@@ -53,15 +53,15 @@ def validate_policy(
 ) -> None:
     """Raise ``ValueError`` for parameters outside their range."""
     if lead < 0:
-        raise ValueError("lead_time must be non-negative.")
+        raise ValueError(f"A lead time cannot be negative: {lead}")
     if review <= 0:
-        raise ValueError("review_period must be greater than 0.")
+        raise ValueError(f"A review period needs at least one day: {review}")
     for scenario in scenarios:
         if scenario.multiplier <= 0:
-            raise ValueError("demand_multiplier must be greater than 0.")
+            raise ValueError(f"Scenario {scenario.name!r}: demand multiplier has to be positive")
         fraction = scenario.capacity_fraction
         if fraction is not None and not 0 < fraction <= 1:
-            raise ValueError("capacity_fraction must be between 0 and 1.")
+            raise ValueError(f"Scenario {scenario.name!r}: capacity fraction outside (0, 1]")
 
 
 def error_stats(oof: DataFrame) -> DataFrame:
@@ -75,7 +75,7 @@ def error_stats(oof: DataFrame) -> DataFrame:
 
 def require_error_stats(stats: DataFrame) -> DataFrame:
     if not stats.where(F.col("error_std").isNull()).isEmpty():
-        raise ValueError("At least one product has no OOF error deviation.")
+        raise ValueError("A product has too few out-of-fold errors for a deviation.")
     return stats
 
 
@@ -310,7 +310,7 @@ def evaluate_policy(
     require_columns(test, ("product_id", "date", "actual_demand", "forecast"))
     if check:
         if test.isEmpty():
-            raise ValueError("Policy evaluation received no rows.")
+            raise ValueError("Policy input holds no rows.")
         assert_unique_key(test, ["product_id", "date"], "policy input")
         require_error_stats(stats)
     products = attach_error_stats(collect_days(test), stats, check)
@@ -372,7 +372,7 @@ def validate_z_set(summary: DataFrame, expected: Sequence[float] = Z_VALUES) ->
     rows = summary.select(fixed("z_score", 2).alias("z")).distinct().limit(len(expected) + 1)
     found = {row["z"] for row in rows.collect()}
     if found != {round(z, 2) for z in expected}:
-        raise ValueError(f"Unexpected z-score values: {sorted(found)}")
+        raise ValueError(f"Expected z values {sorted(expected)}, found {sorted(found)}")
     return summary
 
 

@@ -56,10 +56,10 @@ def holdout_frames(
     """
     bounds = df.agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
     if bounds["last"] is None:
-        raise ValueError("Final test dataset is empty.")
+        raise ValueError("The table holds no dates, so there is no holdout.")
     start = bounds["last"] - dt.timedelta(days=days - 1)
     if bounds["first"] >= start:
-        raise ValueError("Development dataset is empty.")
+        raise ValueError(f"All dates fall into the last {days} days, so no development rows remain.")
     return df.where(F.col(day) < F.lit(start)), df.where(F.col(day) >= F.lit(start))
 
 
@@ -81,7 +81,7 @@ def time_series_folds(
         folds.append(Fold(number, start - dt.timedelta(days=1), start, end))
     for fold in folds:
         if fold.test(df, day).isEmpty() or fold.train(df, day).isEmpty():
-            raise ValueError(f"Empty training or validation set for fold {fold}.")
+            raise ValueError(f"No training or no validation rows in {fold}")
     return folds
 
 

@@ -286,7 +286,7 @@ def test_short_history_stops_the_forecast(spark):
     daily = daily_series(spark, days=30)
     end = START + dt.timedelta(days=29)
     fold = splits.Fold(1, end - dt.timedelta(days=5), end - dt.timedelta(days=4), end)
-    with pytest.raises(Exception, match="Insufficient history"):
+    with pytest.raises(Exception, match="Too little history"):
         benchmark.naive_multistep(daily, fold).collect()
 
 

@@ -189,9 +189,9 @@ def test_published_costs(spark):
 
 
 def test_z_values_must_be_the_expected_ones(spark):
-    with pytest.raises(ValueError, match="z-score"):
+    with pytest.raises(ValueError, match="z values"):
         policy.validate_z_set(summary(spark, Z_SUMMARY[:2]))
-    with pytest.raises(ValueError, match="z-score"):
+    with pytest.raises(ValueError, match="z values"):
         policy.validate_z_set(summary(spark, [*Z_SUMMARY, (3.0, 60, 1.0, 1.0, 1.0)]))
     with pytest.raises(ValueError, match="test_days"):
         policy.validate_z_set(summary(spark).drop("test_days"))

@@ -179,7 +179,7 @@ def test_benchmark_preparation_checks(spark):
         benchmark.prepare_benchmark(wide.where("id = 'a'"), series, calendar)
     with pytest.raises(ValueError, match="Duplicate"):
         benchmark.prepare_benchmark(wide, series.union(series), calendar)
-    with pytest.raises(ValueError, match="calendar length"):
+    with pytest.raises(ValueError, match="observed days"):
         benchmark.prepare_benchmark(wide, series, calendar.where("d <> 'd_2'"))
     with pytest.raises(ValueError, match="negative_demand"):
         benchmark.prepare_benchmark(wide.selectExpr("id", "-d_1 AS d_1", "d_2"), series, calendar)
