@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import contamination, language_id
+from shelfcast.llm import contamination, language_id, prefix_hash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -66,3 +66,9 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
        sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN found USING (doc_id)
 """
+
+
+@registered
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix-hash fingerprints of every document and of its edited text."""
+    return prefix_hash.fingerprints(table(spark, sf_dir, "documents"))
