@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import contamination, language_id, prefix_hash
+from shelfcast.llm import contamination, language_id, prefix_hash, recompression
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -72,3 +72,29 @@ FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN found USING (doc_id)
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prefix-hash fingerprints of every document and of its edited text."""
     return prefix_hash.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that do not repeat a passage of an earlier one."""
+    return recompression.repeat_counts(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op6_substring_dedup"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+wins AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS win
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 12)) AS i FROM d WHERE len(w) >= 13)),
+owners AS (SELECT win, min(doc_id) AS owner FROM wins GROUP BY win),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(generate_series(i, i + 12)) AS i
+  FROM wins JOIN owners USING (win) WHERE owner < doc_id),
+words AS (SELECT doc_id, unnest(generate_series(1, len(w))) AS i, unnest(w) AS word FROM d),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n
+  FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
