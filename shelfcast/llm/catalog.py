@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import contamination, language_id, prefix_hash, recompression
+from shelfcast.llm import contamination, language_id, minhash_join, prefix_hash, recompression
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -98,3 +98,9 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) A
        sha256(coalesce(text, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)
 """
+
+
+@registered
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class, links and copies of every document under five-word Jaccard similarity of at least 0.8."""
+    return minhash_join.similar_documents(table(spark, sf_dir, "documents")).drop("text_hash", "first")
