@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import contamination, language_id, minhash_join, prefix_hash, recompression
+from shelfcast.llm import contamination, language_id, minhash_join, mixing, prefix_hash, recompression
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -104,3 +104,13 @@ FROM d LEFT JOIN kept USING (doc_id)
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class, links and copies of every document under five-word Jaccard similarity of at least 0.8."""
     return minhash_join.similar_documents(table(spark, sf_dir, "documents")).drop("text_hash", "first")
+
+
+#: Even enough that no source rules, with every document used once at least and four times at most.
+MIX = mixing.Target(entropy=0.95, max_repeats=4.0)
+
+
+@registered
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every use of a document in the mix of sources."""
+    return mixing.mixed_ids(table(spark, sf_dir, "documents"), MIX)
