@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import contamination, language_id, minhash_join, mixing, prefix_hash, recompression
+from shelfcast.llm import (
+    contamination,
+    language_id,
+    minhash_join,
+    mixing,
+    prefix_hash,
+    recompression,
+    resampling,
+    token_counts,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -114,3 +123,15 @@ MIX = mixing.Target(entropy=0.95, max_repeats=4.0)
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every use of a document in the mix of sources."""
     return mixing.mixed_ids(table(spark, sf_dir, "documents"), MIX)
+
+
+@registered
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every encoded length: documents and tokens at least as long, and tokens left when cut there."""
+    return token_counts.suffix_sums(token_counts.length_histogram(table(spark, sf_dir, "documents")))
+
+
+@registered
+def op3_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance weight of every document and whether it is in the sample."""
+    return resampling.resample_like_labelled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
