@@ -43,7 +43,7 @@ def bucket_counts(docs: DataFrame) -> np.ndarray:
         counts, digests = np.zeros(BUCKETS, np.int64), texts.WordDigests()
         for part in texts.slices(batches, "text"):
             for text in texts.as_bytes(part.column("text")):
-                counts += np.bincount(_buckets(digests.of(texts.normal_words(text))), minlength=BUCKETS)
+                counts += np.bincount(_buckets(digests.of(texts.plain_words(text))), minlength=BUCKETS)
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(counts[used])], ["bucket", "n"])
 
@@ -78,7 +78,7 @@ def scores(docs: DataFrame, ratio: np.ndarray, seed: int = 5) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digests, weight = texts.WordDigests(), shared.value
         for part in texts.slices(batches, "text"):
-            sums = np.array([weight[_buckets(digests.of(texts.normal_words(t)))].sum() for t in texts.as_bytes(part.column("text"))])
+            sums = np.array([weight[_buckets(digests.of(texts.plain_words(t)))].sum() for t in texts.as_bytes(part.column("text"))])
             key = sums + noise(part.column("draw").to_numpy())
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(sums), pa.array(key), pa.array(_ordered(key))],
@@ -122,6 +122,6 @@ def resample_like_labelled(docs: DataFrame, labels: DataFrame, seed: int = 5) ->
     """Resample towards the documents labelled good and not toxic; the share is that of good ones among the labelled."""
     marks = labels.select("doc_id", "quality", F.coalesce("toxic", F.lit(0)).alias("toxic")).where("quality IS NOT NULL")
     good = marks.where("quality = 1 AND toxic = 0").select("doc_id").distinct()
-    share = marks.agg(F.avg((F.col("quality") == 1).cast("double"))).first()[0]
+    share = marks.agg(F.avg(F.expr("quality = 1").cast("double"))).first()[0]
     target = docs.select("doc_id", "text").join(good, "doc_id", "left_semi")
     return resample(docs, target, 1.0 if share is None else share, seed)
