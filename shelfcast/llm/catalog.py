@@ -16,6 +16,7 @@ from shelfcast.llm import (
     recompression,
     resampling,
     token_counts,
+    url_filter,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -135,3 +136,18 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Importance weight of every document and whether it is in the sample."""
     return resampling.resample_like_labelled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+RULES = [
+    url_filter.Rule("allow", "org", "/"),
+    url_filter.Rule("block", "example.org", "/es/"),
+    url_filter.Rule("block", "example.org", "/en/1"),
+    url_filter.Rule("allow", "com", "/fr/"),
+    url_filter.Rule("block", "com", "/de/"),
+]
+
+
+@registered
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's url."""
+    return url_filter.judge(table(spark, sf_dir, "pages"), RULES)
