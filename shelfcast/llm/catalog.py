@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.llm import (
     contamination,
+    html_blocks,
     language_id,
     minhash_join,
     mixing,
@@ -151,3 +152,11 @@ RULES = [
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Host, path, rule and verdict of every page's url."""
     return url_filter.judge(table(spark, sf_dir, "pages"), RULES)
+
+
+@registered
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages")
+    labeller = html_blocks.train(html_blocks.training_pages(pages))
+    return html_blocks.extract(pages, labeller, ["page_id", "url"])
