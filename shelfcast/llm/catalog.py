@@ -46,7 +46,7 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows found in every document."""
     found = contamination.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"])
-    return contamination.digest_columns(found, ["doc_id"])
+    return contamination.digest_columns(found)
 
 
 #: Strings are compared as sequences of words joined by a blank, which no word holds.

@@ -162,11 +162,11 @@ def automata(benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOC
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, keep: list[str], window: int = WINDOW,
              block_words: int = BLOCK_WORDS, text: str = "text") -> DataFrame:
-    """Columns ``keep`` with n_words, spans (pairs of word places, flat) and items of every row."""
+    """row (a struct of columns ``keep``), n_words, spans (pairs of word places, flat) and items of every row."""
     spark = docs.sparkSession
-    source = texts.with_id(docs, **{c: c for c in keep}, _text=text)
+    source = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{text}`").alias("_text"))
     result = T.StructType([
-        *source.schema.fields[:-1], T.StructField("n_words", T.LongType()),
+        source.schema["row"], T.StructField("n_words", T.LongType()),
         T.StructField("spans", T.ArrayType(T.LongType())), T.StructField("items", T.ArrayType(T.StringType())),
     ])
     built = list(_first_two(automata(benchmark, window, block_words)))
@@ -187,7 +187,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, keep: list[str], window: int
     )
     empty = SuffixAutomaton([], window)
     counted = source.withColumn("digest", digest).join(united, "digest", "left").select(
-        *[F.col(f"`{c}`") for c in source.columns], F.col("spans").alias("_spans"), F.col("items").alias("_items"))
+        "row", "_text", F.col("spans").alias("_spans"), F.col("items").alias("_items"))
     return counted.mapInArrow(_scanner(spark.sparkContext.broadcast(empty), False), result)
 
 
@@ -242,10 +242,10 @@ def n_hit() -> Column:
     return F.when(F.size("spans") > 0, total).otherwise(F.lit(0).cast("long"))
 
 
-def digest_columns(found: DataFrame, keep: list[str]) -> DataFrame:
-    """Counts and the digest of found items for the rows of ``overlaps``."""
+def digest_columns(found: DataFrame) -> DataFrame:
+    """The kept columns with counts and the digest of found items, for the rows of ``overlaps``."""
     return found.select(
-        *[F.col(f"`{c}`") for c in keep], "n_words", n_hit().alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        "row.*", "n_words", n_hit().alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"))
 
 
@@ -272,17 +272,18 @@ def remove_passages(docs: DataFrame, benchmark: DataFrame, max_span: int = 0, ma
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = batch.column("text").to_pylist()
-            sizes = batch.column("n_chars").to_pylist() if "n_chars" in names else None
+            rows = dict(zip(names, batch.column("row").flatten(), strict=True))
+            column = rows["text"].to_pylist()
+            sizes = rows["n_chars"].to_pylist() if "n_chars" in rows else None
             for i, spans in enumerate(batch.column("spans").to_pylist()):
                 cut = [x for a, b in zip(spans[::2], spans[1::2], strict=True) if b - a > max_span for x in (a, b)]
                 if cut:
                     column[i] = cut_words(column[i], cut)
                     if sizes:
                         sizes[i] = len(column[i])
-            new = {"text": pa.array(column, batch.schema.field("text").type)}
+            rows["text"] = pa.array(column, rows["text"].type)
             if sizes is not None:
-                new["n_chars"] = pa.array(sizes, batch.schema.field("n_chars").type)
-            yield pa.RecordBatch.from_arrays([new.get(n, batch.column(n)) for n in names], names)
+                rows["n_chars"] = pa.array(sizes, rows["n_chars"].type)
+            yield pa.RecordBatch.from_arrays([pa.StructArray.from_arrays(list(rows.values()), fields=list(batch.schema.field("row").type))], ["row"])
 
-    return left.mapInArrow(run, docs.schema)
+    return left.select("row", "spans").mapInArrow(run, T.StructType([left.schema["row"]])).select("row.*")

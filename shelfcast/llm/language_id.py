@@ -200,10 +200,12 @@ def identify(df: DataFrame, model: LanguageModel, keep: list[str], text: str = "
 
 def keep_known(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
     """Whole rows of ``df`` without those that are ``und``, or ambiguous with less than even odds."""
+    place = df.columns.index(text)
+    numbered = df.toDF(*[f"c{k}" for k in range(len(df.columns))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in texts.slices(batches, text):
-            names, score, unsure = _judged(model, part.column(text))
+        for part in texts.slices(batches, f"c{place}"):
+            names, score, unsure = _judged(model, part.column(place))
             yield part.filter(pa.array((np.array(names) != UNDETERMINED) & ~(unsure & (score < 0.5))))
 
-    return df.mapInArrow(run, df.schema)
+    return numbered.mapInArrow(run, numbered.schema).toDF(*df.columns)

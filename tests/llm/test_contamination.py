@@ -57,7 +57,7 @@ def tables(spark):
 
 def test_odd_inputs_and_clashing_columns(tables):
     docs, bench = tables
-    rows = C.digest_columns(C.overlaps(docs, bench, ["doc_id"]), ["doc_id"]).collect()
+    rows = C.digest_columns(C.overlaps(docs, bench, ["doc_id"])).collect()
     got = {(r["doc_id"], r["n_words"], r["n_hit"], r["n_items"], r["contaminated"]) for r in rows}
     assert got == {(1, 24, 11, 2, True), (2, 3, 0, 0, False), (3, 0, 0, 0, False), (4, 0, 0, 0, False),
                    (5, 2, 2, 1, True), (6, 11, 11, 2, True), (None, 0, 0, 0, False)}
@@ -68,8 +68,8 @@ def test_odd_inputs_and_clashing_columns(tables):
 
 def test_blocks_give_what_one_automaton_gives(tables):
     docs, bench = tables
-    one = C.digest_columns(C.overlaps(docs, bench, ["doc_id"]), ["doc_id"])
-    many = C.digest_columns(C.overlaps(docs, bench, ["doc_id"], block_words=5), ["doc_id"])
+    one = C.digest_columns(C.overlaps(docs, bench, ["doc_id"]))
+    many = C.digest_columns(C.overlaps(docs, bench, ["doc_id"], block_words=5))
     assert sorted(map(str, one.collect())) == sorted(map(str, many.collect()))
 
 
