@@ -51,9 +51,9 @@ def ngram_set(words: np.ndarray, n: int = N) -> np.ndarray:
 
 
 def _signed(batches: Iterator[pa.RecordBatch], bands: int, rows: int, n: int) -> Iterator[pa.RecordBatch]:
-    factors, digests = texts.odd_numbers(bands * rows, 51), texts.WordDigests()
+    factors = texts.odd_numbers(bands * rows, 51)
     for part in texts.slices(batches, "text", texts.SLICE_BYTES // 2):
-        sets = [ngram_set(digests.of(texts.normal_words(t)), n) for t in texts.as_bytes(part.column("text"))]
+        sets = [ngram_set(texts.word_digests(texts.normal_words(t)), n) for t in texts.as_bytes(part.column("text"))]
         filled = [s for s in sets if len(s)]
         keys = np.zeros((bands, len(filled)), np.uint64)
         if filled:
@@ -122,13 +122,13 @@ def _verifier(n: int, threshold: Fraction):
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("links", pa.int64())])
 
     def run(table: pa.Table) -> pa.Table:
-        digests, clusters = texts.WordDigests(), {}
+        clusters: dict = {}
         for batch in table.to_batches():
             for root, node, block, text in zip(batch.column("root").to_pylist(), batch.column("node").to_pylist(),
                                                batch.column("block").to_pylist(), texts.as_bytes(batch.column("text")), strict=True):
                 own = clusters.setdefault(root, {}).setdefault(block, {})
                 if node not in own:
-                    own[node] = ngram_set(digests.of(texts.normal_words(text)), n)
+                    own[node] = ngram_set(texts.word_digests(texts.normal_words(text)), n)
         out = []
         first, second = table.column("first")[0].as_py(), table.column("second")[0].as_py()
         for blocks in clusters.values():

@@ -49,14 +49,14 @@ _ODD = [np.uint64(x) for x in texts.odd_numbers(8, 11)]
 class Sequence:
     """The words of several documents, a separator of its own after each."""
 
-    def __init__(self, documents: list[list[bytes]], digests: texts.WordDigests):
+    def __init__(self, documents: list[list[bytes]]):
         sizes = np.array([len(w) for w in documents], np.int64)
         self.ends = np.cumsum(sizes + 1) - 1  # places of the separators
         self.starts = self.ends - sizes
         self.symbols = np.zeros(int(sizes.sum()) + len(sizes), np.uint64)
         inner = np.ones(len(self.symbols), bool)
         inner[self.ends] = False
-        self.symbols[inner] = digests.of([w for words in documents for w in words])
+        self.symbols[inner] = texts.word_digests([w for words in documents for w in words])
         self.separator = ~inner
         self.symbols[self.separator] = texts.mix(np.arange(len(sizes), dtype=np.uint64) + _ODD[0])
         self.owner = np.repeat(np.arange(len(sizes)), sizes + 1)
@@ -117,12 +117,12 @@ def anchors(seq: Sequence, places: np.ndarray, window: int = WINDOW, rounds: int
     return anchor
 
 
-def _words(table: pa.Table | pa.RecordBatch, digests: texts.WordDigests):
+def _words(table: pa.Table):
     """Slices of a group with their words, doc_ids and sequence."""
     for batch in texts.slices(table.to_batches(), "text"):
         words = [texts.plain_words(t) for t in texts.as_bytes(batch.column("text"))]
         doc_id = batch.column("doc_id").fill_null(LAST).to_numpy(zero_copy_only=False).astype(np.int64)
-        yield batch, words, doc_id, Sequence(words, digests)
+        yield batch, words, doc_id, Sequence(words)
 
 
 def _cut(order_by: np.ndarray, parts: int) -> Iterator[tuple[int, slice]]:
@@ -136,8 +136,8 @@ def _group_keys(parts: int, window: int) -> Callable[[pa.Table], pa.Table]:
     schema = pa.schema([("part", pa.int32()), ("grp", pa.int32()), ("one", pa.binary()), ("more", pa.binary())])
 
     def run(table: pa.Table) -> pa.Table:
-        digests, keys, docs = texts.WordDigests(), [], []
-        for _, _, doc_id, seq in _words(table, digests):
+        keys, docs = [], []
+        for _, _, doc_id, seq in _words(table):
             anchor = np.unique(anchors(seq, seq.windows(window), window))
             keys.append(seq.digests(KEY_WORDS, 21)[anchor])
             docs.append(doc_id[seq.owner[anchor]])
@@ -199,8 +199,8 @@ def _group_windows(parts: int, window: int) -> Callable[[pa.Table, pa.Table], pa
         if not (table.num_rows and reply.num_rows):
             return _table([], schema)
         shared = np.unique(_pieces(reply.column("keys").to_pylist(), np.uint64)[0])
-        digests, found = texts.WordDigests(), []
-        for _, _, doc_id, seq in _words(table, digests):
+        found = []
+        for _, _, doc_id, seq in _words(table):
             places = seq.windows(window)
             hit = _within(seq.digests(KEY_WORDS, 21)[anchors(seq, places, window)], shared)
             places = places[hit]
@@ -285,13 +285,13 @@ def _judge(window: int, finish: Callable[[pa.RecordBatch, list[list[bytes]], lis
            schema: pa.Schema) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def run(table: pa.Table, reply: pa.Table) -> pa.Table:
         owners = _Owners(reply) if reply.num_rows else None
-        digests, out = texts.WordDigests(), []
+        out = []
         for batch in texts.slices(table.to_batches(), "text"):
             words = [texts.plain_words(t) for t in texts.as_bytes(batch.column("text"))]
             gone: list[np.ndarray | None] = [None] * len(words)
             if owners:
                 doc_id = batch.column("doc_id").fill_null(LAST).to_numpy(zero_copy_only=False).astype(np.int64)
-                seq = Sequence(words, digests)
+                seq = Sequence(words)
                 covered = _covered(seq, doc_id, owners, window)
                 for k in np.unique(seq.owner[covered]):
                     gone[k] = covered[seq.starts[k] : seq.ends[k]]

@@ -40,10 +40,10 @@ def bucket_counts(docs: DataFrame) -> np.ndarray:
     """How often each bucket occurs in all texts; tasks add up before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, digests = np.zeros(BUCKETS, np.int64), texts.WordDigests()
+        counts = np.zeros(BUCKETS, np.int64)
         for part in texts.slices(batches, "text"):
             for text in texts.as_bytes(part.column("text")):
-                counts += np.bincount(_buckets(digests.of(texts.plain_words(text))), minlength=BUCKETS)
+                counts += np.bincount(_buckets(texts.word_digests(texts.plain_words(text))), minlength=BUCKETS)
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(counts[used])], ["bucket", "n"])
 
@@ -76,9 +76,9 @@ def scores(docs: DataFrame, ratio: np.ndarray, seed: int = 5) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(ratio)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digests, weight = texts.WordDigests(), shared.value
+        weight = shared.value
         for part in texts.slices(batches, "text"):
-            sums = np.array([weight[_buckets(digests.of(texts.plain_words(t)))].sum() for t in texts.as_bytes(part.column("text"))])
+            sums = np.array([weight[_buckets(texts.word_digests(texts.plain_words(t)))].sum() for t in texts.as_bytes(part.column("text"))])
             key = sums + noise(part.column("draw").to_numpy())
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(sums), pa.array(key), pa.array(_ordered(key))],

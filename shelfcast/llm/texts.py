@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 #: Bytes of text that one slice holds, unless a single text is longer.
 SLICE_BYTES = 2 << 20
@@ -48,21 +48,9 @@ def normal_words(text: bytes | None) -> list[bytes]:
     return text.translate(_NORMAL).split() if text else []
 
 
-class WordDigests(dict):
-    """64-bit digests of words, remembered up to a bound."""
-
-    def __init__(self, bound: int = 400_000):
-        self.bound = bound
-
-    def __missing__(self, word: bytes) -> int:
-        digest = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
-        if len(self) >= self.bound:
-            self.clear()
-        self[word] = digest
-        return digest
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+def word_digests(words: list[bytes]) -> np.ndarray:
+    """64-bit digests of words."""
+    return np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -87,10 +75,6 @@ def sequence_digests(words: np.ndarray, n: int, seed: int = 0) -> np.ndarray:
     return mix(total)
 
 
-def arrow_map(df: DataFrame, function, schema: str) -> DataFrame:
-    return df.mapInArrow(function, schema)
-
-
 def with_id(df: DataFrame, **columns: Column | str) -> DataFrame:
     """Only the named columns of ``df``; others, whatever their names, cannot clash."""
     return df.select(*[(F.col(f"`{c}`") if isinstance(c, str) else c).alias(name) for name, c in columns.items()])

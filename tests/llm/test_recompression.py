@@ -9,7 +9,6 @@ import numpy as np
 import pytest
 
 from shelfcast.llm import recompression as R
-from shelfcast.llm import texts
 
 
 @pytest.mark.parametrize("seed", range(30))
@@ -18,7 +17,7 @@ def test_equal_windows_have_equal_anchors(seed):
     letters = [bytes([97 + k]) for k in range(rng.randint(1, 6))]
     passage = rng.choices(letters, k=40)
     docs = [rng.choices(letters, k=rng.randint(0, 30)) + passage + rng.choices(letters, k=rng.randint(0, 30)) for _ in range(20)]
-    seq = R.Sequence([*docs, []], texts.WordDigests())
+    seq = R.Sequence([*docs, []])
     places = seq.windows(R.WINDOW)
     offset = R.anchors(seq, places) - places
     assert offset.min() >= 0 and offset.max() <= R.WINDOW - R.KEY_WORDS
@@ -29,7 +28,7 @@ def test_equal_windows_have_equal_anchors(seed):
 
 def test_symbols_make_anchors_sparse():
     rng = random.Random(0)
-    seq = R.Sequence([[b"%d" % rng.randint(0, 10**6) for _ in range(50_000)]], texts.WordDigests())
+    seq = R.Sequence([[b"%d" % rng.randint(0, 10**6) for _ in range(50_000)]])
     places = seq.windows(R.WINDOW)
     assert len(np.unique(R.anchors(seq, places))) < 0.45 * len(places)
 

@@ -11,10 +11,10 @@ from shelfcast.llm import resampling as R
 
 
 def plain_counts(rows):
-    digests, counts = texts.WordDigests(), np.zeros(R.BUCKETS, np.int64)
+    counts = np.zeros(R.BUCKETS, np.int64)
     for text in rows:
         words = texts.plain_words(text.encode()) if text else []
-        hashed = digests.of(words)
+        hashed = texts.word_digests(words)
         for k in range(len(words)):
             counts[int(texts.mix(hashed[k : k + 1])[0]) % R.BUCKETS] += 1
             if k:
