@@ -40,7 +40,7 @@ WINDOW = 13
 KEY_WORDS = 6
 ROUNDS = 4
 #: Groups of documents per shuffle partition.
-GROUPS_PER_PARTITION = 8
+GROUPS_PER_PARTITION = 4
 LAST = (1 << 63) - 1
 PLAIN_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _ODD = [np.uint64(x) for x in texts.odd_numbers(8, 11)]
