@@ -17,8 +17,7 @@ from pyspark.sql import functions as F
 
 
 def _range_count(df: DataFrame) -> int:
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(32, min(partitions, 512))
+    return max(32, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def _ranged_counts(

@@ -2,33 +2,25 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_FOLDERS: dict[str, str] = {}
+_MADE: dict[str, list[str]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
-
-    A local session without one gets its own temporary folder; on a cluster a machine-local folder
-    would be lost with its machine, so there the setting is required.
-    """
+    """The folder named by ``spark.checkpoint.dir``; without the setting there is nowhere to write."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("Set spark.checkpoint.dir to a folder every executor can reach.")
-    application = spark.sparkContext.applicationId
-    if application not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="shelfcast-")
-    return _LOCAL_FOLDERS[application]
+    if not folder:
+        raise ValueError("Set spark.checkpoint.dir to a folder that the driver and every executor can reach.")
+    return folder.rstrip("/")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/shelfcast/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/shelfcast/{label}-{uuid.uuid4().hex}"
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -40,3 +32,27 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(target, True)
+
+
+def replace(old: DataFrame, new: DataFrame, label: str) -> DataFrame:
+    """Write ``new``, which is made from the written table ``old``, and delete ``old``."""
+    spark = new.sparkSession
+    superseded = {path.rpartition("/")[0] for path in old.inputFiles()}
+    made = _MADE.get(spark.sparkContext.applicationId, [])
+    written = materialize(new, label)
+    for path in [p for p in made if any(s.endswith(p.removeprefix("file://")) for s in superseded)]:
+        _delete(spark, path)
+        made.remove(path)
+    return written
+
+
+def release(spark: SparkSession) -> None:
+    """Delete every folder that this application has made; call it when no table of it is needed."""
+    for path in _MADE.pop(spark.sparkContext.applicationId, []):
+        _delete(spark, path)

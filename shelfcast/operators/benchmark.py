@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from shelfcast.functions.contracts import assert_unique_key, require_columns
 from shelfcast.functions.metrics import evaluate_benchmark
 from shelfcast.functions.ordered import ranked_values
-from shelfcast.functions.workspace import materialize
+from shelfcast.functions.workspace import materialize, replace
 from shelfcast.operators.models import BOOSTING, NAIVE, boosting_fitter
 from shelfcast.operators.panel import lag_columns, rolling_columns
 from shelfcast.operators.splits import BENCHMARK_HORIZON, Fold, benchmark_folds, final_flag
@@ -308,16 +308,15 @@ def recursive_forecast(
     """Forecast the validation days one after the other, feeding each prediction back.
 
     One row per series carries the last 28 demands, so a step scores all series in one distributed
-    transform without a shuffle. The state is written every ``cut_every`` steps, which keeps the
-    plan short.
+    transform without a shuffle. The history and the predictions, not the days to come, are written
+    every ``cut_every`` steps, which keeps the plan short; what they replace is deleted.
     """
-    spark = encoded.sparkSession
-    state = future_days(encoded, fold).join(recent_history(encoded, fold.train_end), "id")
-    state = materialize(
-        state.withColumn("predictions", F.array().cast("array<double>")), "recursion"
-    )
-    horizon = state.agg(F.max(F.size("future"))).first()[0] or 0
-    kept = ["id", "future", *CODES]
+    days = materialize(future_days(encoded, fold), "recursion-days")
+    start = recent_history(encoded, fold.train_end).join(days.select("id"), "id")
+    written = materialize(start.withColumn("predictions", F.array().cast("array<double>")), "recursion")
+    horizon = days.agg(F.max(F.size("future"))).first()[0] or 0
+    state = written.join(days, "id")
+    kept = [c for c in ("id", "future", *CODES) if c in state.columns]
     for step in range(horizon):
         day = F.get("future", F.lit(step))
         scored = model.transform(state.withColumns(recursive_feature_columns("history", day)))
@@ -328,7 +327,8 @@ def recursive_forecast(
             F.concat("predictions", F.array("_value")).alias("predictions"),
         )
         if (step + 1) % cut_every == 0 or step + 1 == horizon:
-            state = materialize(state, "recursion")
+            written = replace(written, state.select("id", "history", "predictions"), "recursion")
+            state = written.join(days, "id")
     return state.select(
         "id", "predictions", F.posexplode("future").alias("position", "day")
     ).select(

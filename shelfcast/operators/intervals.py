@@ -30,13 +30,15 @@ def prediction_intervals(predictions: DataFrame, widths: DataFrame) -> DataFrame
     """Bounds around each prediction, never below 0, and whether they cover the demand.
 
     ``widths`` has one row per model and is joined without a hint. A prediction whose model has no
-    width drops out; :func:`require_widths` raises for it.
+    width raises when the rows are computed.
     """
-    width = F.col("interval_width")
+    lacking = F.raise_error(F.concat(F.lit("No interval width for model "), F.coalesce("model", F.lit("null"))))
+    width = F.coalesce("interval_width", lacking.cast("double"))
     lower = F.greatest(F.col("prediction") - width, F.lit(0.0))
     upper = F.col("prediction") + width
-    return predictions.join(widths, "model").withColumns(
+    return predictions.join(widths, "model", "left").withColumns(
         {
+            "interval_width": width,
             "prediction_lower": lower,
             "prediction_upper": upper,
             "interval_covered": F.col("demand").between(lower, upper),
@@ -46,10 +48,11 @@ def prediction_intervals(predictions: DataFrame, widths: DataFrame) -> DataFrame
 
 def require_widths(predictions: DataFrame, widths: DataFrame) -> None:
     """Raise unless predictions and validation results cover the same models."""
-    used = {r["model"] for r in predictions.select("model").distinct().collect()}
-    known = {r["model"] for r in widths.select("model").distinct().collect()}
-    if used != known:
-        raise ValueError(f"Models without results on both sides: {sorted(used ^ known)}")
+    used, known = predictions.select("model").distinct(), widths.select("model").distinct()
+    for left, right in ((used, known), (known, used)):
+        lone = left.join(right, "model", "left_anti").orderBy("model").first()
+        if lone is not None:
+            raise ValueError(f"Model without results on both sides: {lone['model']}")
 
 
 def coverage_columns(actual: str = "demand") -> list[Column]:

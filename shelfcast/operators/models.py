@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from multiprocessing.pool import ThreadPool
@@ -21,6 +22,7 @@ from shelfcast.operators.panel import FEATURE_COLUMNS, TARGET
 from shelfcast.operators.splits import Fold, holdout_frames, time_series_folds
 
 SEED = 42
+IMPORTANCE_ROWS = 5000
 NAIVE = "Seasonal Naive"
 RIDGE = "Ridge Regression"
 FOREST = "Random Forest"
@@ -53,16 +55,19 @@ def ridge_fitter(
     """Least squares with penalty ``alpha``, on standardised features unless ``scaled`` is off."""
 
     def fit(train: DataFrame) -> PipelineModel:
+        gaps = reduce(lambda a, c: a | F.col(c).isNull(), columns, F.lit(False))
         size = train.agg(
-            F.count("*").alias("rows"), F.stddev_pop(label).alias("spread")
+            F.count("*").alias("rows"), F.stddev_pop(label).alias("spread"), F.count_if(gaps).alias("gaps")
         ).first()
+        if size["gaps"]:
+            raise ValueError(f"{size['gaps']} training rows lack a feature")
         # The solver divides the label by its deviation, and the penalty with it. The scaler uses
         # the sample deviation, so weights of features scaled by the population deviation, which
         # the penalty is meant for, are smaller by (n - 1) / n in their squares.
         penalty = alpha / size["rows"] * (size["spread"] or 1.0)
         if scaled:
             penalty *= 1 - 1 / size["rows"]
-        stages = [_assembler(columns)]
+        stages = [_assembler(columns, "keep")]
         if scaled:
             stages[0].setOutputCol("raw_features")
             stages.append(
@@ -88,14 +93,15 @@ def forest_fitter(
         labelCol=label, numTrees=trees, maxDepth=10, minInstancesPerNode=5,
         featureSubsetStrategy="all", seed=SEED,
     )
-    return lambda train: Pipeline(stages=[_assembler(columns), forest]).fit(train)
+    # A missing feature goes to the upper side of a split instead of failing the batch.
+    return lambda train: Pipeline(stages=[_assembler(columns, "keep"), forest]).fit(train)
 
 
 def boosting_fitter(
     rounds: int = 400,
     columns: Sequence[str] = FEATURE_COLUMNS,
     label: str = TARGET,
-    invalid: str = "error",
+    invalid: str = "keep",
     checkpoint_every: int = 10,
 ) -> Fitter:
     boosting = GBTRegressor(
@@ -115,10 +121,14 @@ def build_models(trees: int = 300, rounds: int = 400) -> dict[str, Fitter]:
 
 
 def predict_demand(df: DataFrame, model: PipelineModel) -> DataFrame:
-    """Add ``prediction``, never below 0; raises when a feature is missing."""
+    """Add ``prediction``, never below 0.
+
+    A missing feature column raises. A missing value is scored by tree models; ridge has no prediction
+    for it, which is null then.
+    """
     require_columns(df, FEATURE_COLUMNS, "features")
-    scored = model.transform(df)
-    return scored.withColumn("prediction", F.greatest("prediction", F.lit(0.0))).select(
+    demand = F.when(~F.isnan("prediction"), F.greatest("prediction", F.lit(0.0)))
+    return model.transform(df).withColumn("prediction", demand).select(
         *df.columns, "prediction"
     )
 
@@ -340,15 +350,14 @@ def permutation_importance(
 ) -> DataFrame:
     """Mean rise of the MAE when one feature is shuffled.
 
-    The rows are dealt at random into even groups, by default of at least 5000 rows: large enough
-    to shuffle well, small enough for one task. Within a group, in a random order per
+    The rows are dealt at random into even groups, by default of about ``IMPORTANCE_ROWS``: large enough
+    to shuffle well, small enough for one task, at any size of the table. Within a group, in a random order per
     repeat, each row takes a feature value from the next row (the last from the first), which is a
     random permutation of the group, so no global row number and no join back is needed. One
     shuffle serves all features and repeats; each row is then scored once per feature.
     """
     if groups is None:
-        partitions = int(holdout.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        groups = max(1, min(partitions, holdout.count() // 5000))
+        groups = max(1, math.ceil(holdout.count() / IMPORTANCE_ROWS))
     dealt = holdout.select("product_id", "date", TARGET, *columns).withColumn(
         "_group",
         F.pmod(F.xxhash64("product_id", "date", F.lit(seed)), F.lit(groups)),

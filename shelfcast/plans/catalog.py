@@ -11,7 +11,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +26,7 @@ from shelfcast.operators import (
     splits,
 )
 from shelfcast.plans import inputs, oracle
-from shelfcast.plans.inputs import CUTOFF
+from shelfcast.plans.statements import STATEMENTS
 from shelfcast.sources import files, standin
 from shelfcast.streaming import scoring
 
@@ -107,12 +109,19 @@ def read_raw_sales(spark, folder):
     return files.read_raw_sales(spark, files.write_report(table, path, "csv"))
 
 
-@register("read_projected", "id d_1:i d_30:i", "SELECT id, d_1, d_30 FROM wide", "wide")
+@register(
+    "read_projected", "id first_day:i last_day:i",
+    "SELECT id, sum(demand) FILTER (n = 1) AS first_day, "
+    "sum(demand) FILTER (n = (SELECT max(n) FROM event_days)) AS last_day FROM event_long GROUP BY id",
+    "event_long event_days",
+)
 def read_projected(spark, folder):
     path = new_folder(spark, "wide") + ".parquet"
     wide = standin.wide_demand(spark, folder)
     files.write_report(wide, path)
-    return files.read_table(spark, path, wide.schema, ["id", "d_1", "d_30"])
+    last = wide.columns[-1]
+    found = files.read_table(spark, path, wide.schema, ["id", "d_1", last])
+    return found.select("id", F.col("d_1").alias("first_day"), F.col(last).alias("last_day"))
 
 
 @register(
@@ -132,27 +141,6 @@ def register_views(spark, folder):
     )
 
 
-STATEMENTS = {
-    "yearly_units": "SELECT year(date) AS k, sum(quantity) AS v FROM sales GROUP BY year(date)",
-    "promotion_units": "SELECT promotion AS k, sum(quantity) AS v FROM sales GROUP BY promotion",
-    "panel_days": "SELECT year(date) AS k, count(*) AS v FROM daily_product_panel GROUP BY year(date)",
-}
-
-
-@register(
-    "run_sql_catalog", "statement k:i v:i",
-    "SELECT 'yearly_units' AS statement, year(date) AS k, sum(quantity) AS v FROM sales GROUP BY ALL "
-    "UNION ALL SELECT 'promotion_units', promotion, sum(quantity) FROM sales GROUP BY ALL "
-    "UNION ALL SELECT 'panel_days', year(date), count(*) FROM model GROUP BY ALL",
-    "sales model",
-)
-def run_sql_catalog(spark, folder):
-    register_views(spark, folder)
-    results = files.run_sql_catalog(spark, STATEMENTS)
-    frames = [df.select(F.lit(name).alias("statement"), "k", "v") for name, df in results.items()]
-    return frames[0].unionByName(frames[1]).unionByName(frames[2])
-
-
 CATEGORY_SQL = (
     f"SELECT category, sum(quantity) AS total_units, {oracle.fx('sum(quantity * price)', 2)} AS "
     "total_revenue, count(DISTINCT product_id) AS n_products FROM sales GROUP BY category"
@@ -220,9 +208,9 @@ def panel_quality_gate(spark, folder):
 
 @register(
     "calendar_coverage", "calendar_rows:i calendar_days:i expected_days:i",
-    "SELECT count(*) AS calendar_rows, count(DISTINCT d) AS calendar_days, 30 AS expected_days "
-    "FROM calendar WHERE CAST(substr(d, 3) AS INTEGER) BETWEEN 1 AND 30",
-    "calendar",
+    "SELECT count(*) AS calendar_rows, count(DISTINCT d) AS calendar_days, max(last) AS expected_days "
+    "FROM calendar, (SELECT max(n) AS last FROM event_days) WHERE CAST(substr(d, 3) AS INTEGER) BETWEEN 1 AND last",
+    "calendar event_days",
 )
 def calendar_coverage(spark, folder):
     parts = inputs.event_benchmark(spark, folder)
@@ -241,7 +229,7 @@ def save_load_model(spark, folder):
     "monitoring_summary_text", "value",
     """SELECT 'Benchmark rows: ' || (SELECT count(*) FROM monitored) AS value
     UNION ALL SELECT 'Final-test rows: ' || (SELECT sum(is_final_test) FROM monitored)
-    UNION ALL SELECT 'Prediction rows: ' || (SELECT count(*) FROM predictions)
+    UNION ALL SELECT 'Prediction rows: ' || (SELECT 2 * count(*) FROM predictions)
     UNION ALL SELECT 'Missing predictions: '
         || (SELECT count(*) FILTER (prediction IS NULL) FROM predictions)
     UNION ALL SELECT 'Negative predictions: '
@@ -251,7 +239,7 @@ def save_load_model(spark, folder):
 def monitoring_summary_text(spark, folder):
     return monitoring.monitoring_summary_text(
         monitoring.monitoring_summary(
-            inputs.monitored(spark, folder), inputs.monitored_predictions(spark, folder)
+            inputs.monitored(spark, folder), inputs.benchmark_final(spark, folder)
         )
     )
 
@@ -263,6 +251,11 @@ def _raw(run):
     return lambda spark, folder: run(standin.sales_raw(spark, folder))
 
 
+def _dated(run):
+    """With the last day of the sales as the cutoff."""
+    return lambda spark, folder: run(standin.sales_raw(spark, folder), inputs.cutoff(spark, folder))
+
+
 def _count(column: str, condition: str) -> str:
     return f"count(*) FILTER ({condition}) AS {column}"
 
@@ -355,11 +348,11 @@ register(
             _count("unparsable_dates", "date IS NOT NULL AND TRY_CAST(date AS DATE) IS NULL"),
             "min(TRY_CAST(date AS DATE)) AS min_date",
             "max(TRY_CAST(date AS DATE)) AS max_date",
-            _count("future_dates", f"TRY_CAST(date AS DATE) > DATE '{CUTOFF}'"),
+            _count("future_dates", "TRY_CAST(date AS DATE) > (SELECT max(date) FROM sales)"),
         ]
     ) + " FROM raw",
-    "raw",
-)(_raw(lambda df: cleaning.date_problems(df, CUTOFF)))
+    "raw sales",
+)(_dated(cleaning.date_problems))
 
 register(
     "drop_duplicates", "order_id:i " + RAW_COLUMNS, "SELECT DISTINCT * FROM raw", "raw"
@@ -367,9 +360,9 @@ register(
 register(
     "drop_bad_dates", "order_id:i " + RAW_COLUMNS,
     "SELECT * REPLACE (TRY_CAST(date AS DATE) AS date) FROM raw "
-    f"WHERE TRY_CAST(date AS DATE) <= DATE '{CUTOFF}'",
-    "raw",
-)(_raw(lambda df: cleaning.drop_bad_dates(df, CUTOFF)))
+    "WHERE TRY_CAST(date AS DATE) <= (SELECT max(date) FROM sales)",
+    "raw sales",
+)(_dated(cleaning.drop_bad_dates))
 register(
     "drop_missing_target", "order_id:i " + RAW_COLUMNS,
     "SELECT * FROM raw WHERE quantity IS NOT NULL", "raw",
@@ -386,13 +379,13 @@ register(
 )(_raw(cleaning.impute_median_price))
 register(
     "clean_sales", "order_id:i " + SALES_COLUMNS, "SELECT * FROM clean", "clean"
-)(_raw(lambda df: cleaning.clean_sales(df, CUTOFF)))
+)(_dated(cleaning.clean_sales))
 register(
     "cleaning_report", "rows_before:i rows_after:i rows_removed:i share_removed:6",
     "SELECT b AS rows_before, a AS rows_after, b - a AS rows_removed, (b - a) / b AS share_removed "
     "FROM (SELECT count(*) AS b FROM raw), (SELECT count(*) AS a FROM clean)",
     "raw clean",
-)(_raw(lambda df: cleaning.cleaning_report(df, CUTOFF)))
+)(_dated(cleaning.cleaning_report))
 register(
     "safe_stats", "column_name mean:6 std:6 min:6 max:6",
     " UNION ALL ".join(
@@ -521,6 +514,31 @@ register(
     "sales",
 )(_sales(sales_queries.product_growth))
 
+def _statement_rows() -> str:
+    """Rows of every question; that the rows are those of the DataFrame forms is checked in Spark."""
+    return " UNION ALL ".join(
+        f"SELECT '{key}' AS statement, count(*) AS n_rows, true AS same_as_dataframe FROM ({QUERIES[key].sql}) AS q"
+        for key in STATEMENTS
+    )
+
+
+def run_sql_catalog(spark, folder):
+    sales, daily = standin.sales(spark, folder), inputs.features(spark, folder)
+    results = files.run_sql_catalog(spark, STATEMENTS, sales=sales, panel=daily)
+    rows = []
+    for name, df in results.items():
+        expected = QUERIES[name].run(spark, folder).select(*df.columns)
+        marked = df.select("*", F.lit(1).alias("_side")).unionByName(expected.select("*", F.lit(-1).alias("_side")))
+        unequal = marked.groupBy(*df.columns).agg(
+            F.sum("_side").alias("side"), F.count_if(F.col("_side") == 1).alias("n"))
+        rows.append(unequal.agg(
+            F.lit(name).alias("statement"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
+            (F.count_if(F.col("side") != 0) == 0).alias("same_as_dataframe")))
+    return reduce(DataFrame.unionByName, rows)
+
+
+register("run_sql_catalog", "statement n_rows:i same_as_dataframe", _statement_rows(), "sales model")(run_sql_catalog)
+
 # Exploration -----------------------------------------------------------------------------------
 
 WEEK_END = "CAST(date_trunc('week', date) AS DATE) + 6"
@@ -909,7 +927,7 @@ def cv_summary(spark, folder):
 @register("final_test", "model mae:3 rmse:3 smape_pct:2 test_start test_end test_rows:i")
 def final_test(spark, folder):
     scored = models.final_test(
-        inputs.features(spark, folder), models.boosting_fitter(inputs.QUERY_ROUNDS)
+        inputs.features(spark, folder), lambda train: inputs.production_model(spark, folder)
     )
     return models.final_test_metrics(scored)
 
@@ -1224,7 +1242,6 @@ HISTORY_LIST = (
     "rolling_std_28:6"
 )
 CODE_LIST = "item_code:i store_code:i dept_code:i cat_code:i state_code:i"
-DAY_LIST = " ".join(f"d_{i}:i" for i in range(1, 31))
 
 
 def _selected(spark, folder):
@@ -1232,24 +1249,27 @@ def _selected(spark, folder):
     return standin.series_metadata(spark, folder).where(F.col("dept_id").isin("DEPT_0", "DEPT_1"))
 
 
-register(
-    "select_series", f"id {DAY_LIST}",
-    "SELECT * FROM wide WHERE id IN (SELECT id FROM metadata WHERE dept_id IN ('DEPT_0', 'DEPT_1'))",
-    "wide metadata",
-)(
-    lambda spark, folder: benchmark.select_series(
-        standin.wide_demand(spark, folder), _selected(spark, folder)
-    )
+@register(
+    "select_series", "id days demands",
+    "SELECT id, string_agg(d, ',' ORDER BY n) AS days, string_agg(CAST(demand AS VARCHAR), ',' ORDER BY n) AS demands "
+    "FROM event_long WHERE id IN (SELECT id FROM metadata WHERE dept_id IN ('DEPT_0', 'DEPT_1')) GROUP BY id",
+    "event_long metadata",
 )
+def select_series(spark, folder):
+    wide = standin.wide_demand(spark, folder)
+    days = [c for c in wide.columns if c.startswith("d_")]
+    return benchmark.select_series(wide, _selected(spark, folder)).select(
+        "id", F.lit(",".join(days)).alias("days"), F.concat_ws(",", *[F.col(c).cast("string") for c in days]).alias("demands"))
+
+
 register(
     "melt_days", "id d demand:i",
-    "SELECT id, d, demand FROM (UNPIVOT wide ON COLUMNS('d_.*') INTO NAME d VALUE demand)", "wide",
+    "SELECT id, d, demand FROM event_long", "event_long",
 )(lambda spark, folder: benchmark.melt_days(standin.wide_demand(spark, folder)))
 register(
     "join_metadata", f"{SERIES_LIST} d demand:i",
-    "SELECT m.*, l.d, l.demand FROM (UNPIVOT wide ON COLUMNS('d_.*') INTO NAME d VALUE demand) l "
-    "LEFT JOIN metadata m USING (id)",
-    "wide metadata",
+    "SELECT m.*, l.d, l.demand FROM event_long l LEFT JOIN metadata m USING (id)",
+    "event_long metadata",
 )(
     lambda spark, folder: benchmark.join_metadata(
         benchmark.melt_days(standin.wide_demand(spark, folder)),
@@ -1318,16 +1338,9 @@ register(
         benchmark.final_fold(inputs.benchmark_encoded(spark, folder)).train_end,
     )
 )
-NAIVE_STEPS = """
-    SELECT f.id, f.date, f.demand, greatest(h.demand, 0) AS prediction
-    FROM {source} f, {source} h, (SELECT max(date) AS m FROM {source})
-    WHERE f.date > m - {horizon} AND h.id = f.id
-      AND h.date = m - {horizon} - 6 + CAST((f.date - (m - {horizon}) - 1) % 7 AS INTEGER)"""
-
-
 @register(
     "naive_multistep", "id date demand:2 prediction:2",
-    NAIVE_STEPS.format(source="bench", horizon=28), "bench",
+    oracle.NAIVE_STEPS.format(source="bench", horizon=28), "bench",
 )
 def naive_multistep(spark, folder):
     encoded = inputs.benchmark_encoded(spark, folder)
@@ -1351,22 +1364,16 @@ def recursive_feature_row(spark, folder):
 
 @register("recursive_forecast", "id date demand:2 prediction:4")
 def recursive_forecast(spark, folder):
-    encoded = inputs.benchmark_encoded(spark, folder)
-    fold = benchmark.final_fold(encoded)
-    return benchmark.evaluate_window(encoded, fold, models.BOOSTING, inputs.QUERY_ROUNDS)
+    return inputs.benchmark_final(spark, folder).where(F.col("model") == models.BOOSTING)
 
 
 BENCH_METRICS = "mae:6 rmse:6 smape_pct:6 wape_pct:6"
-BENCH_METRICS_SQL = """avg(abs(demand - prediction)) AS mae,
-    sqrt(avg((demand - prediction) * (demand - prediction))) AS rmse,
-    avg(CASE WHEN demand = 0 AND prediction = 0 THEN 0
-        ELSE 2 * abs(demand - prediction) / (abs(demand) + abs(prediction)) END) * 100 AS smape_pct,
-    sum(abs(demand - prediction)) / nullif(sum(abs(demand)), 0) * 100 AS wape_pct"""
+BENCH_METRICS_SQL = oracle.BENCH_METRICS
 
 
 @register(
     "evaluate_window", BENCH_METRICS,
-    f"SELECT {BENCH_METRICS_SQL} FROM ({NAIVE_STEPS.format(source='bench', horizon=28)})", "bench",
+    f"SELECT {BENCH_METRICS_SQL} FROM ({oracle.NAIVE_STEPS.format(source='bench', horizon=28)})", "bench",
 )
 def evaluate_window(spark, folder):
     """Pooled metrics of the naive forecast on the holdout, the part with an exact reference."""
@@ -1382,19 +1389,11 @@ def benchmark_cv(spark, folder):
 
 @register(
     "benchmark_cv_naive", f"fold:i train_end validation_start validation_end model {BENCH_METRICS}",
-    f"""SELECT k AS fold, t AS train_end, t + 1 AS validation_start, t + 28 AS validation_end,
-        'Seasonal Naive' AS model, {BENCH_METRICS_SQL}
-    FROM (SELECT w.k, w.t, f.demand, greatest(h.demand, 0) AS prediction
-          FROM (SELECT k, max(date) - CAST(28 * k AS INTEGER) - 28 AS t
-                FROM bench, (SELECT unnest([1, 2, 3, 4]) AS k) GROUP BY k) w
-          JOIN bench f ON f.date BETWEEN w.t + 1 AND w.t + 28
-          JOIN bench h ON h.id = f.id AND h.date = w.t - 6 + CAST((f.date - w.t - 1) % 7 AS INTEGER))
-    GROUP BY ALL""",
-    "bench",
+    "SELECT * FROM cv", "cv",
 )
 def benchmark_cv_naive(spark, folder):
     """The naive rows of the benchmark validation, which have an exact reference."""
-    return benchmark.benchmark_cv(inputs.benchmark_encoded(spark, folder), models=[models.NAIVE])
+    return _naive(inputs.benchmark_cv(spark, folder))
 
 
 @register("benchmark_cv_summary", f"model {BENCH_METRICS}")
@@ -1404,17 +1403,23 @@ def benchmark_cv_summary(spark, folder):
 
 @register("benchmark_final", "id date demand:2 model prediction:4")
 def benchmark_final(spark, folder):
-    return benchmark.benchmark_final(
-        inputs.benchmark_encoded(spark, folder), rounds=inputs.QUERY_ROUNDS
-    )
+    return inputs.benchmark_final(spark, folder)
 
 
 # Intervals and monitoring ----------------------------------------------------------------------
 
 
+# Widths come from the validation and bounds go around the holdout forecasts of both models; the rows of
+# the naive one, which have an exact reference, are compared.
+
+
+def _naive(df: DataFrame, column: str = "model") -> DataFrame:
+    return df.where(F.col(column) == models.NAIVE)
+
+
 def _intervals(spark, folder):
-    widths = intervals.interval_width(inputs.benchmark_cv_naive(spark, folder))
-    return intervals.prediction_intervals(inputs.monitored_predictions(spark, folder), widths)
+    widths = intervals.interval_width(inputs.benchmark_cv(spark, folder))
+    return intervals.prediction_intervals(inputs.benchmark_final(spark, folder), widths)
 
 
 register(
@@ -1424,13 +1429,13 @@ register(
 register(
     "interval_width", "model interval_width:6",
     "SELECT model, max(rmse) AS interval_width FROM cv GROUP BY model", "cv",
-)(lambda spark, folder: intervals.interval_width(inputs.benchmark_cv_naive(spark, folder)))
+)(lambda spark, folder: _naive(intervals.interval_width(inputs.benchmark_cv(spark, folder))))
 register(
     "prediction_intervals",
     "id date demand:2 prediction:2 model interval_width:6 prediction_lower:6 prediction_upper:6 "
     "interval_covered",
     "SELECT * FROM intervals", "intervals",
-)(_intervals)
+)(lambda spark, folder: _naive(_intervals(spark, folder)))
 register(
     "interval_metrics",
     "model confidence_level_pct:2 interval_width:6 coverage_pct:6 mean_interval_width:6 "
@@ -1441,7 +1446,7 @@ register(
     "avg(abs(demand - prediction)) AS mean_absolute_error, count(*) AS n_observations "
     "FROM intervals GROUP BY model",
     "intervals",
-)(lambda spark, folder: intervals.interval_metrics(_intervals(spark, folder)))
+)(lambda spark, folder: _naive(intervals.interval_metrics(_intervals(spark, folder))))
 
 STAT_LIST = "missing_count:i negative_count:i mean:6 std:6 min:6 max:6"
 
@@ -1488,7 +1493,7 @@ register(
 register(
     "model_performance", f"check_type metric {STAT_LIST} {BENCH_METRICS}", PERFORMANCE_SQL,
     "predictions",
-)(lambda spark, folder: monitoring.model_performance(inputs.monitored_predictions(spark, folder)))
+)(lambda spark, folder: _naive(monitoring.model_performance(inputs.benchmark_final(spark, folder)), "metric"))
 register(
     "monitoring_report",
     f"check_type metric {STAT_LIST} standardized_mean_shift:6 {BENCH_METRICS}",
@@ -1502,6 +1507,283 @@ register(
     "monitored predictions",
 )(
     lambda spark, folder: monitoring.monitoring_report(
-        inputs.monitored(spark, folder), inputs.monitored_predictions(spark, folder)
-    )
+        inputs.monitored(spark, folder), inputs.benchmark_final(spark, folder)
+    ).where((F.col("check_type") != "model_performance") | (F.col("metric") == models.NAIVE))
+)
+
+# Trained models: what is exact about their results ---------------------------------------------
+#
+# Numbers of a trained model have no reference in SQL. These queries run the same operators and return
+# the rows, keys, dates and figures that do, with marks for what must hold of the trained numbers.
+
+FEATURE_ROWS = " UNION ALL ".join(f"SELECT '{c}' AS feature" for c in oracle.FEATURE_NAMES)
+TRAINED_MODELS = (models.RIDGE, models.FOREST, models.BOOSTING)
+KEYS = "product_id category date quantity:2"
+CLOSE = 1e-9
+
+
+def _measured(*names: str):
+    """Whether all figures are numbers, and not below 0."""
+    return reduce(lambda a, c: a & F.coalesce((F.col(c) >= 0) & ~F.isnan(c), F.lit(False)), names, F.lit(True))
+
+
+def _only_naive(df: DataFrame, names: list[str]) -> DataFrame:
+    """Figures of the naive model; those of a trained one are only marked as measured."""
+    shown = {c: F.when(F.col("model") == models.NAIVE, F.col(c)) for c in names}
+    return df.withColumn("measured", _measured(*names)).withColumns(shown)
+
+
+def _trained_rows(naive: str, keys: str, names: list[str], trained: tuple[str, ...], source: str) -> str:
+    empty = ", ".join(f"CAST(NULL AS DOUBLE) AS {c}" for c in names)
+    select = f"{keys}, " if keys else ""
+    return f"SELECT *, true AS measured FROM ({naive}) UNION ALL BY NAME " + " UNION ALL BY NAME ".join(
+        f"SELECT DISTINCT {select}'{m}' AS model, {empty}, true AS measured FROM ({source})" for m in trained)
+
+
+def _error_marks(actual: str, error: str, size: str):
+    gap = F.col(actual) - F.col("prediction")
+    return {
+        "error_is_gap": F.abs(F.col(error) - gap) <= CLOSE,
+        "size_is_absolute": F.abs(F.col(size) - F.abs(gap)) <= CLOSE,
+        "never_negative": F.coalesce(F.col("prediction") >= 0, F.lit(False)),
+    }
+
+
+ERROR_MARKS = "error_is_gap size_is_absolute never_negative"
+ERROR_MARKS_SQL = "true AS error_is_gap, true AS size_is_absolute, true AS never_negative"
+
+QUERIES["model_info"] = Query(
+    QUERIES["model_info"].run, QUERIES["model_info"].columns,
+    f"SELECT 'GBTRegressionModel' AS model_type, {len(oracle.FEATURE_NAMES)} AS feature_count, "
+    f"'{','.join(oracle.FEATURE_NAMES)}' AS features",
+)
+
+
+@register(
+    "save_load_model_checked", "product_id date difference:6",
+    "SELECT product_id, date, 0.0 AS difference FROM holdout", "holdout",
+)
+def save_load_model_checked(spark, folder):
+    """The loaded pipeline predicts what the saved one did."""
+    _, holdout = splits.holdout_frames(inputs.features(spark, folder))
+    before = models.predict_demand(holdout, inputs.production_model(spark, folder))
+    after = save_load_model(spark, folder).select("product_id", "date", F.col("prediction").alias("loaded"))
+    return before.join(after, ["product_id", "date"]).withColumn("difference", F.abs(F.col("prediction") - F.col("loaded")))
+
+
+@register("ridge_checked", "feature stationary", f"SELECT feature, true AS stationary FROM ({FEATURE_ROWS} UNION ALL SELECT 'intercept')")
+def ridge_checked(spark, folder):
+    """The penalised loss has no slope at the fitted weights."""
+    alpha = 1.0
+    development, _ = splits.holdout_frames(inputs.features(spark, folder))
+    model = models.ridge_fitter(alpha)(development)
+    scored = model.transform(development).withColumn("x", vector_to_array("features"))
+    residual = F.col("prediction") - F.col(panel.TARGET)
+    weights = [float(w) for w in model.stages[-1].coefficients]
+    slopes, scales = [], []
+    for k in range(len(weights) + 1):
+        x = F.get("x", F.lit(k)) if k < len(weights) else F.lit(1.0)
+        slopes.append(F.sum(residual * x))
+        scales.append(F.sum(F.abs(F.col(panel.TARGET) * x)))
+    # Weights are those of features scaled by the sample deviation; the penalty is for the population's.
+    size = F.count("*")
+    rows = [
+        F.struct(F.lit(name).alias("feature"),
+                 (F.abs(slope + F.lit(alpha * w) * (1 - 1 / size)) <= 1e-7 * scale).alias("stationary"))
+        for name, w, slope, scale in zip([*panel.FEATURE_COLUMNS, "intercept"], [*weights, 0.0], slopes, scales, strict=True)
+    ]
+    return scored.agg(F.array(*rows).alias("rows")).select(F.explode("rows").alias("r")).select("r.*")
+
+
+@register("random_forest_checked", f"{KEYS} within_targets", "SELECT *, true AS within_targets FROM holdout", "holdout")
+def random_forest_checked(spark, folder):
+    """Means of leaves lie within the targets that were learned."""
+    development, _ = splits.holdout_frames(inputs.features(spark, folder))
+    span = development.agg(F.min(panel.TARGET).alias("low"), F.max(panel.TARGET).alias("high")).first()
+    predicted = inputs.model_predictions(spark, folder).where(F.col("model") == models.FOREST)
+    return predicted.withColumn("within_targets", F.col("prediction").between(span["low"] - CLOSE, span["high"] + CLOSE))
+
+
+@register("gradient_boosting_checked", f"{KEYS} adds_up", "SELECT *, true AS adds_up FROM holdout", "holdout")
+def gradient_boosting_checked(spark, folder):
+    """A prediction is the weighted sum of the trees', and at least 0."""
+    model = inputs.production_model(spark, folder)
+    _, holdout = splits.holdout_frames(inputs.features(spark, folder))
+    rows = models.predict_demand(holdout, model).withColumnRenamed("prediction", "whole")
+    rows = model.stages[0].transform(rows).withColumn("sum", F.lit(0.0))
+    boosted = model.stages[-1]
+    for tree, weight in zip(boosted.trees, boosted.treeWeights, strict=True):
+        rows = tree.transform(rows).withColumn("sum", F.col("sum") + F.col("prediction") * float(weight)).drop("prediction")
+    return rows.withColumn("adds_up", F.abs(F.greatest("sum", F.lit(0.0)) - F.col("whole")) <= 1e-6)
+
+
+@register(
+    "train_production_checked", "feature valid total:6",
+    f"SELECT feature, true AS valid, 1.0 AS total FROM ({FEATURE_ROWS})",
+)
+def train_production_checked(spark, folder):
+    weights = train_production(spark, folder)
+    total = weights.agg(F.sum("importance")).scalar()
+    return weights.select("feature", F.col("importance").between(0, 1).alias("valid"), total.alias("total"))
+
+
+@register(
+    "predict_demand_checked", "product_id n_rows:i n_missing:i n_negative:i",
+    "SELECT product_id, count(*) AS n_rows, 0 AS n_missing, 0 AS n_negative FROM model GROUP BY product_id", "model",
+)
+def predict_demand_checked(spark, folder):
+    return predict_demand(spark, folder).groupBy("product_id").agg(
+        F.count("*").alias("n_rows"), F.count_if(F.col("prediction").isNull()).alias("n_missing"),
+        F.count_if(F.col("prediction") < 0).alias("n_negative"))
+
+
+@register("batch_score_checked", f"{KEYS} {ERROR_MARKS}", f"SELECT *, {ERROR_MARKS_SQL} FROM model", "model")
+def batch_score_checked(spark, folder):
+    return batch_score(spark, folder).withColumns(_error_marks("quantity", "error", "absolute_error"))
+
+
+@register(
+    "batch_score_summary_checked", "n_rows:i products:i min_date max_date negative_predictions:i ordered",
+    "SELECT count(*) AS n_rows, count(DISTINCT product_id) AS products, min(date) AS min_date, max(date) AS max_date, "
+    "0 AS negative_predictions, true AS ordered FROM model",
+    "model",
+)
+def batch_score_summary_checked(spark, folder):
+    mean = F.col("prediction_mean")
+    return batch_score_summary(spark, folder).withColumn(
+        "ordered", (F.col("prediction_min") <= mean) & (mean <= F.col("prediction_max")))
+
+
+@register(
+    "score_requests_checked", "request_id product_id category scored",
+    "SELECT concat_ws('|', product_id, CAST(date AS VARCHAR)) AS request_id, product_id, category, true AS scored FROM model "
+    "WHERE NOT (dayofyear(date) % 50 IN (1, 2, 3) OR (dayofyear(date) % 50 = 4 AND price > 0))",
+    "model",
+)
+def score_requests_checked(spark, folder):
+    return score_requests(spark, folder).withColumn("scored", _measured("predicted_demand"))
+
+
+THREE_METRICS = ["mae", "rmse", "smape_pct"]
+FOLD_SQL = f"""SELECT fold, 'Seasonal Naive' AS model, {oracle.fx("avg(abs_error)", 3)} AS mae,
+    {oracle.fx("sqrt(avg(error * error))", 3)} AS rmse,
+    {oracle.fx("avg(2 * abs_error / (abs(quantity) + abs(prediction) + 1)) * 100", 2)} AS smape_pct
+    FROM oof GROUP BY fold"""
+
+
+@register(
+    "cross_validate_checked", f"fold:i model {EVALUATE_LIST} measured",
+    _trained_rows(FOLD_SQL, "fold", THREE_METRICS, TRAINED_MODELS, "SELECT fold FROM oof"), "oof",
+)
+def cross_validate_checked(spark, folder):
+    return _only_naive(cross_validate(spark, folder), THREE_METRICS)
+
+
+@register("oof_predictions_checked", f"{KEYS} fold:i {ERROR_MARKS}", f"SELECT *, {ERROR_MARKS_SQL} FROM oof", "oof")
+def oof_predictions_checked(spark, folder):
+    return oof_predictions(spark, folder).withColumns(_error_marks("quantity", "error", "abs_error"))
+
+
+SUMMARY_METRICS = [f"{m}_{s}" for m in THREE_METRICS for s in ("mean", "std")]
+
+
+@register(
+    "cv_summary_checked", "model " + " ".join(f"{c}:4" for c in SUMMARY_METRICS) + " measured",
+    _trained_rows(
+        "SELECT model, " + ", ".join(f"{f}({m}) AS {m}_{s}" for m in THREE_METRICS for f, s in (("avg", "mean"), ("stddev_samp", "std")))
+        + f" FROM ({FOLD_SQL}) GROUP BY model", "", SUMMARY_METRICS, TRAINED_MODELS, "SELECT 1 AS one"),
+    "oof",
+)
+def cv_summary_checked(spark, folder):
+    return _only_naive(cv_summary(spark, folder), SUMMARY_METRICS)
+
+
+@register("best_model_checked", "models:i least", "SELECT 1 AS models, true AS least")
+def best_model_checked(spark, folder):
+    """The best model is the one with the least mean error of all."""
+    least = cv_summary(spark, folder).agg(F.min("mae_mean")).scalar()
+    return best_model(spark, folder).agg(F.count("*").alias("models"), F.bool_and(F.col("mae_mean") == least).alias("least"))
+
+
+@register(
+    "final_test_checked", "model test_start test_end test_rows:i measured",
+    "SELECT 'Gradient Boosting' AS model, min(date) AS test_start, max(date) AS test_end, count(*) AS test_rows, "
+    "true AS measured FROM holdout",
+    "holdout",
+)
+def final_test_checked(spark, folder):
+    return final_test(spark, folder).withColumn("measured", _measured(*THREE_METRICS))
+
+
+@register(
+    "compare_models_checked", f"model {EVALUATE_LIST} measured",
+    _trained_rows("SELECT 'Seasonal Naive' AS model, * FROM (" + _evaluate_sql("") + ")", "", THREE_METRICS, TRAINED_MODELS, "SELECT 1 AS one"),
+    "errors",
+)
+def compare_models_checked(spark, folder):
+    return _only_naive(compare_models(spark, folder), THREE_METRICS)
+
+
+@register(
+    "predictions_side_by_side_checked", "product_id date quantity:2 pred_seasonal_naive:4 measured",
+    "SELECT product_id, date, quantity, prediction AS pred_seasonal_naive, true AS measured FROM holdout", "holdout",
+)
+def predictions_side_by_side_checked(spark, folder):
+    others = [f"pred_{m.lower().replace(' ', '_')}" for m in TRAINED_MODELS]
+    return predictions_side_by_side(spark, folder).withColumn("measured", _measured(*others))
+
+
+@register("permutation_importance_checked", "feature measured", f"SELECT feature, true AS measured FROM ({FEATURE_ROWS})")
+def permutation_importance_checked(spark, folder):
+    importance = F.col("importance")
+    return permutation_importance(spark, folder).withColumn("measured", importance.isNotNull() & ~F.isnan(importance))
+
+
+@register(
+    "recursive_forecast_checked", "id date demand:2 never_negative",
+    "SELECT *, true AS never_negative FROM bench WHERE is_final_test = 1", "bench",
+)
+def recursive_forecast_checked(spark, folder):
+    return recursive_forecast(spark, folder).withColumn("never_negative", _measured("prediction"))
+
+
+FOUR_METRICS = ["mae", "rmse", "smape_pct", "wape_pct"]
+
+
+@register(
+    "evaluate_window_checked", "n_rows:i measured",
+    "SELECT count(*) AS n_rows, true AS measured FROM bench WHERE is_final_test = 1", "bench",
+)
+def evaluate_window_checked(spark, folder):
+    """Metrics of the trained forecast of the holdout."""
+    rows = recursive_forecast(spark, folder)
+    return metrics.evaluate_benchmark(rows).select(
+        rows.agg(F.count("*")).scalar().alias("n_rows"), _measured(*FOUR_METRICS).alias("measured"))
+
+
+BOTH = (models.BOOSTING,)
+
+
+@register(
+    "benchmark_cv_checked", f"fold:i train_end validation_start validation_end model {BENCH_METRICS} measured",
+    _trained_rows("SELECT * FROM cv", "fold, train_end, validation_start, validation_end", FOUR_METRICS, BOTH, "SELECT * FROM cv"), "cv",
+)
+def benchmark_cv_checked(spark, folder):
+    return _only_naive(benchmark_cv(spark, folder), FOUR_METRICS)
+
+
+@register(
+    "benchmark_cv_summary_checked", f"model {BENCH_METRICS} measured",
+    _trained_rows("SELECT model, " + ", ".join(f"avg({m}) AS {m}" for m in FOUR_METRICS) + " FROM cv GROUP BY model", "", FOUR_METRICS, BOTH, "SELECT 1 AS one"),
+    "cv",
+)
+def benchmark_cv_summary_checked(spark, folder):
+    return _only_naive(benchmark_cv_summary(spark, folder), FOUR_METRICS)
+
+
+@register(
+    "benchmark_final_checked", "id date demand:2 model prediction:2 measured",
+    _trained_rows("SELECT * FROM predictions", "id, date, demand", ["prediction"], BOTH, "SELECT * FROM predictions"), "predictions",
 )
+def benchmark_final_checked(spark, folder):
+    return _only_naive(benchmark_final(spark, folder), ["prediction"])

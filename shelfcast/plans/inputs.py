@@ -10,12 +10,10 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.functions.metrics import evaluate_benchmark
 from shelfcast.functions.workspace import materialize
 from shelfcast.operators import benchmark, models, panel, splits
 from shelfcast.sources import standin
 
-CUTOFF = "2001-11-04"  # fixed value: last day of the sales tables
 QUERY_ROUNDS = 10  # boosting rounds in registered queries; the library default is 400
 QUERY_TREES = 10  # forest trees in registered queries; the library default is 300
 _KEPT: dict[tuple[str, str, str], object] = {}
@@ -41,16 +39,19 @@ def full_features(spark: SparkSession, folder: str) -> DataFrame:
     return panel.add_features(panel.build_panel(standin.sales(spark, folder)))
 
 
-def last_day(spark: SparkSession, folder: str) -> Column:
-    """The last date of the sales, fetched once, so that filters on it are literals."""
-    return F.lit(
-        _keep(
-            spark, folder, "last_day",
-            lambda: standin.sales(spark, folder).agg(F.max("date")).first()[0],
-        )
+def cutoff(spark: SparkSession, folder: str) -> str:
+    """The last date of the sales, fetched once; a raw row dated later is wrong."""
+    return _keep(
+        spark, folder, "last_day",
+        lambda: str(standin.sales(spark, folder).agg(F.max("date")).first()[0]),
     )
 
 
+def last_day(spark: SparkSession, folder: str) -> Column:
+    """The same date as a literal for filters."""
+    return F.lit(cutoff(spark, folder)).cast("date")
+
+
 def naive_holdout(spark: SparkSession, folder: str) -> DataFrame:
     """Holdout rows predicted by the value of a week before."""
     start = F.date_sub(last_day(spark, folder), splits.HOLDOUT_DAYS - 1)
@@ -91,34 +92,6 @@ def monitored(spark: SparkSession, folder: str) -> DataFrame:
     return _keep(spark, folder, "monitored", build)
 
 
-def two_models(table: DataFrame, *extra: str) -> DataFrame:
-    """Seasonal forecasts with a season of 7 and of 28 days, stacked."""
-    choices = F.explode(
-        F.array(
-            F.struct(F.lit("seasonal_naive_7").alias("model"), F.col("lag_7").alias("prediction")),
-            F.struct(F.lit("seasonal_naive_28").alias("model"), F.col("lag_28").alias("prediction")),
-        )
-    )
-    return table.select("id", "date", "demand", *extra, choices.alias("c")).select(
-        "id", "date", "demand", *extra, "c.prediction", "c.model"
-    )
-
-
-def monitored_predictions(spark: SparkSession, folder: str) -> DataFrame:
-    return two_models(monitored(spark, folder).where("is_final_test = 1"))
-
-
-def benchmark_cv_naive(spark: SparkSession, folder: str) -> DataFrame:
-    """Metrics of the two seasonal forecasts in the four windows before the holdout."""
-    age = F.datediff(last_day(spark, folder), F.col("date"))
-    windows = (
-        monitored(spark, folder)
-        .where(age.between(28, 139))
-        .withColumn("fold", F.floor(age / 28).cast("int"))
-    )
-    return evaluate_benchmark(two_models(windows, "fold"), ["model", "fold"])
-
-
 def benchmark_daily(spark: SparkSession, folder: str) -> DataFrame:
     """The sales panel as a benchmark table: every product is one series."""
 
@@ -202,7 +175,11 @@ def model_predictions(spark: SparkSession, folder: str) -> DataFrame:
     return _keep(
         spark, folder, "holdout",
         lambda: materialize(
-            models.holdout_predictions(features(spark, folder), query_models()), "holdout"
+            models.holdout_predictions(
+                features(spark, folder),
+                query_models() | {models.BOOSTING: lambda train: production_model(spark, folder)},
+            ),
+            "holdout",
         ),
     )
 
@@ -216,6 +193,15 @@ def benchmark_cv(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def benchmark_final(spark: SparkSession, folder: str) -> DataFrame:
+    return _keep(
+        spark, folder, "benchmark_final",
+        lambda: materialize(
+            benchmark.benchmark_final(benchmark_encoded(spark, folder), rounds=QUERY_ROUNDS), "final"
+        ),
+    )
+
+
 def requests(spark: SparkSession, folder: str) -> DataFrame:
     """Scoring requests made from the feature rows; some days break a rule."""
     table = features(spark, folder)

@@ -41,7 +41,7 @@ CLEAN = """
            coalesce(price, median(price) OVER (PARTITION BY product_id)) AS price,
            promotion, discount, store, region, holiday
     FROM (SELECT * REPLACE (TRY_CAST(date AS DATE) AS date) FROM (SELECT DISTINCT * FROM raw))
-    WHERE date <= DATE '2001-11-04' AND quantity >= 0 AND (price >= 0 OR price IS NULL)
+    WHERE date <= (SELECT max(date) FROM sales) AND quantity >= 0 AND (price >= 0 OR price IS NULL)
 """
 
 DAILY = """
@@ -135,22 +135,29 @@ MONITORED = """
     FROM features
 """
 
-TWO = """
-    SELECT id, date, demand, is_final_test, 'seasonal_naive_7' AS model, lag_7 AS prediction
-    FROM monitored
-    UNION ALL
-    SELECT id, date, demand, is_final_test, 'seasonal_naive_28' AS model, lag_28 AS prediction
-    FROM monitored
-"""
-
-PREDICTIONS = "SELECT id, date, demand, model, prediction FROM two WHERE is_final_test = 1"
-
-CV = """
-    SELECT model, CAST(floor(((SELECT max(date) FROM sales) - date) / 28) AS INTEGER) AS fold,
-           sqrt(avg((demand - prediction) * (demand - prediction))) AS rmse,
-           avg(abs(demand - prediction)) AS mae
-    FROM two
-    WHERE (SELECT max(date) FROM sales) - date BETWEEN 28 AND 139
+# The seasonal forecast repeats the last week before a window of 28 days.
+NAIVE_STEPS = """
+    SELECT f.id, f.date, f.demand, greatest(h.demand, 0) AS prediction
+    FROM {source} f, {source} h, (SELECT max(date) AS m FROM {source})
+    WHERE f.date > m - {horizon} AND h.id = f.id
+      AND h.date = m - {horizon} - 6 + CAST((f.date - (m - {horizon}) - 1) % 7 AS INTEGER)"""
+
+PREDICTIONS = f"SELECT *, 'Seasonal Naive' AS model FROM ({NAIVE_STEPS.format(source='bench', horizon=28)})"
+
+BENCH_METRICS = """avg(abs(demand - prediction)) AS mae,
+    sqrt(avg((demand - prediction) * (demand - prediction))) AS rmse,
+    avg(CASE WHEN demand = 0 AND prediction = 0 THEN 0
+        ELSE 2 * abs(demand - prediction) / (abs(demand) + abs(prediction)) END) * 100 AS smape_pct,
+    sum(abs(demand - prediction)) / nullif(sum(abs(demand)), 0) * 100 AS wape_pct"""
+
+CV = f"""
+    SELECT k AS fold, t AS train_end, t + 1 AS validation_start, t + 28 AS validation_end,
+           'Seasonal Naive' AS model, {BENCH_METRICS}
+    FROM (SELECT w.k, w.t, f.demand, greatest(h.demand, 0) AS prediction
+          FROM (SELECT k, max(date) - CAST(28 * k AS INTEGER) - 28 AS t
+                FROM bench, (SELECT unnest([1, 2, 3, 4]) AS k) GROUP BY k) w
+          JOIN bench f ON f.date BETWEEN w.t + 1 AND w.t + 28
+          JOIN bench h ON h.id = f.id AND h.date = w.t - 6 + CAST((f.date - w.t - 1) % 7 AS INTEGER))
     GROUP BY ALL
 """
 
@@ -299,13 +306,13 @@ EVENT_DAYS = """
     FROM events GROUP BY ALL
 """
 
-WIDE = (
-    "SELECT concat('U', CAST(user_id AS VARCHAR)) AS id, "
-    + ", ".join(
-        f"CAST(coalesce(sum(demand) FILTER (n = {i}), 0) AS BIGINT) AS d_{i}" for i in range(1, 31)
-    )
-    + " FROM event_days GROUP BY user_id"
-)
+EVENT_LONG = """
+    SELECT concat('U', CAST(u.user_id AS VARCHAR)) AS id, concat('d_', CAST(g.n AS VARCHAR)) AS d, g.n,
+           CAST(coalesce(e.demand, 0) AS BIGINT) AS demand
+    FROM (SELECT DISTINCT user_id FROM event_days) u
+    CROSS JOIN (SELECT unnest(generate_series(1, (SELECT max(n) FROM event_days))) AS n) g
+    LEFT JOIN event_days e ON e.user_id = u.user_id AND e.n = g.n
+"""
 
 METADATA = """
     SELECT concat('U', CAST(user_id AS VARCHAR)) AS id,
@@ -352,7 +359,7 @@ FLAGS = """
 
 EVENT_DAILY = """
     SELECT m.*, c.date, l.d, CAST(l.demand AS DOUBLE) AS demand, c.* EXCLUDE (d, date)
-    FROM (UNPIVOT wide ON COLUMNS('d_.*') INTO NAME d VALUE demand) l
+    FROM event_long l
     LEFT JOIN metadata m USING (id) LEFT JOIN calendar c ON c.d = l.d
 """
 
@@ -377,7 +384,7 @@ BENCH = f"""
 TABLES: dict[str, tuple[tuple[str, ...], str]] = {
     "sales": ((), SALES),
     "raw": (("sales",), RAW + " UNION ALL " + RAW + " WHERE order_id % 700 = 5"),
-    "clean": (("raw",), CLEAN),
+    "clean": (("raw", "sales"), CLEAN),
     "daily": (("sales",), DAILY),
     "spine": (("sales",), SPINE),
     "grid": (("daily", "spine"), GRID),
@@ -388,9 +395,8 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
     "errors": (("holdout",), ERRORS),
     "oof": (("model",), OOF),
     "monitored": (("features",), MONITORED),
-    "two": (("monitored",), TWO),
-    "predictions": (("two",), PREDICTIONS),
-    "cv": (("two",), CV),
+    "predictions": (("bench",), PREDICTIONS),
+    "cv": (("bench",), CV),
     "intervals": (("predictions", "cv"), INTERVALS),
     "stats": (("oof",), STATS),
     "five": ((), SCENARIOS),
@@ -398,10 +404,10 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
     "z_set": ((), Z_SET),
     "days": (("holdout",), DAYS),
     "event_days": ((), EVENT_DAYS),
-    "wide": (("event_days",), WIDE),
+    "event_long": (("event_days",), EVENT_LONG),
     "metadata": ((), METADATA),
     "calendar": ((), CALENDAR),
-    "event_daily": (("wide", "metadata", "calendar"), EVENT_DAILY),
+    "event_daily": (("event_long", "metadata", "calendar"), EVENT_DAILY),
     "event_flags": (("event_daily",), FLAGS.format(source="event_daily")),
     "bench_base": (("panel",), BENCH_BASE),
     "bench_flags": (("bench_base",), FLAGS.format(source="bench_base")),

@@ -66,12 +66,17 @@ def register_views(spark: SparkSession, **tables: DataFrame) -> None:
         df.createOrReplaceTempView(name)
 
 
-def run_sql_catalog(spark: SparkSession, statements: Mapping[str, str]) -> dict[str, DataFrame]:
-    """Analyze every named statement; a statement that does not resolve names itself and fails."""
+def run_sql_catalog(
+    spark: SparkSession, statements: Mapping[str, str], **tables: DataFrame
+) -> dict[str, DataFrame]:
+    """Analyze every named statement; a statement that does not resolve names itself and fails.
+
+    A statement names a table of ``tables`` in braces; no view of the session is touched.
+    """
     results, failures = {}, []
     for name, text in statements.items():
         try:
-            results[name] = spark.sql(text)
+            results[name] = spark.sql(text, **tables)
         except Exception as error:  # collected, so that one run reports every broken statement
             failures.append(f"{name}: {error}")
     if failures:

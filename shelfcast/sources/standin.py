@@ -97,8 +97,9 @@ def daily_events(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def wide_demand(spark: SparkSession, folder: str, days: int = 30) -> DataFrame:
-    """One row per series with day columns ``d_1`` .. ``d_<days>``."""
+def wide_demand(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per series with a day column, ``d_1`` and on, for every day from the first to the last event."""
+    days = daily_events(spark, folder).agg(F.max("n")).first()[0] or 0
     day_columns = [
         F.coalesce(F.sum(F.when(F.col("n") == i, F.col("demand"))), F.lit(0)).alias(f"d_{i}")
         for i in range(1, days + 1)

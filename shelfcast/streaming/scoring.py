@@ -42,12 +42,15 @@ def read_requests(
 
 
 def score_requests_stream(
-    requests: DataFrame, model: PipelineModel, accepted_path: str, rejected_path: str, checkpoint: str
+    requests: DataFrame, model: PipelineModel, accepted_path: str, rejected_path: str, checkpoint: str,
+    every: str | None = None,
 ) -> list[StreamingQuery]:
     """Start one query for accepted requests with their scores and one for rejected requests.
 
-    Both are exactly-once file sinks with their own checkpoint.
+    Both are exactly-once file sinks with their own checkpoint. They run on, in the interval ``every``,
+    such as "10 seconds"; without it they take what has arrived and end.
     """
+    trigger = {"processingTime": every} if every else {"availableNow": True}
     validated = validate_requests(requests)
     fine = F.size("failed_rules") == 0
     scored = predict_demand(validated.where(fine), model).select(
@@ -58,7 +61,7 @@ def score_requests_stream(
         df.writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", f"{checkpoint}/{name}")
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start(path)
         for name, df, path in (
             ("accepted", scored, accepted_path), ("rejected", refused, rejected_path)
