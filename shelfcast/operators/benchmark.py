@@ -184,25 +184,31 @@ def prepare_benchmark(
     return final_flag(benchmark_features(daily), horizon, last=last).select(*OUTPUT_COLUMNS)
 
 
-def category_codes(series: DataFrame, column: str) -> DataFrame:
-    """Position of each distinct value in sorted order, from 0."""
-    code = column.removesuffix("_id") + "_code"
-    distinct = series.select(column).distinct()
-    return ranked_values(distinct, [], column).select(column, F.col("n_before").alias(code))
+def category_codes(series: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, value, code): the place of each value among the sorted values of its column."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns]))
+    values = series.select(pairs.alias("pair")).select("pair.*").distinct()
+    return ranked_values(values, ["column"], "value").select("column", "value", F.col("n_before").alias("code"))
 
 
 def encode_categories(daily: DataFrame, columns: Sequence[str] = CODED) -> DataFrame:
     """Add one code column per category column, -1 where the value is missing.
 
-    Codes are found on one row per series, so the daily table meets them in one join by series.
+    Codes are found on one row per series, in one ranking and one join for all columns; the daily table
+    meets them in one join by series.
     """
     series = daily.select("id", *columns).distinct()
-    coded = series
-    for column in columns:
-        coded = coded.join(category_codes(series, column), column, "left")
-    names = [c.removesuffix("_id") + "_code" for c in columns]
-    codes = coded.select(
-        "id", *[F.coalesce(F.col(n), F.lit(-1)).cast("int").alias(n) for n in names]
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns]))
+    found = series.select("id", pairs.alias("pair")).select("id", "pair.*").join(
+        category_codes(series, columns), ["column", "value"], "left"
+    )
+    codes = found.groupBy("id").agg(
+        *[
+            F.coalesce(F.max(F.when(F.col("column") == c, F.col("code"))), F.lit(-1))
+            .cast("int")
+            .alias(c.removesuffix("_id") + "_code")
+            for c in columns
+        ]
     )
     return daily.join(codes, "id", "left")
 

@@ -80,15 +80,16 @@ def profile_describe(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
         F.min("number").alias("min"),
         F.max("number").alias("max"),
     )
+    # One entry per column, so it is looked up: ten join keys would put most rows into a few tasks.
+    known = summary.agg(
+        F.map_from_entries(F.collect_list(F.struct("column_name", F.struct("mean", "n_values"))))
+    ).scalar()
+    own = F.element_at(known, F.col("column_name"))
+    gap = F.col("number") - own["mean"]
     spread = (
         counted.where(F.col("number").isNotNull())
-        .join(summary.select("column_name", "mean", "n_values"), "column_name")
         .groupBy("column_name")
-        .agg(
-            F.sum((F.col("number") - F.col("mean")) * (F.col("number") - F.col("mean")) * weight)
-            .alias("squares"),
-            F.max("n_values").alias("n_values"),
-        )
+        .agg(F.sum(gap * gap * weight).alias("squares"), F.max(own["n_values"]).alias("n_values"))
         .select(
             "column_name",
             F.sqrt(F.try_divide(F.col("squares"), F.col("n_values") - F.lit(1))).alias("std"),

@@ -29,16 +29,16 @@ def interval_width(cv_results: DataFrame) -> DataFrame:
 def prediction_intervals(predictions: DataFrame, widths: DataFrame) -> DataFrame:
     """Bounds around each prediction, never below 0, and whether they cover the demand.
 
-    ``widths`` has one row per model and is joined without a hint. A prediction whose model has no
-    width raises when the rows are computed.
+    ``widths`` has one row per model and is looked up: a join on a few models would put most predictions
+    into a few tasks. A prediction whose model has no width raises when the rows are computed.
     """
+    known = widths.agg(F.map_from_entries(F.collect_list(F.struct("model", "interval_width")))).scalar()
     lacking = F.raise_error(F.concat(F.lit("No interval width for model "), F.coalesce("model", F.lit("null"))))
-    width = F.coalesce("interval_width", lacking.cast("double"))
-    lower = F.greatest(F.col("prediction") - width, F.lit(0.0))
-    upper = F.col("prediction") + width
-    return predictions.join(widths, "model", "left").withColumns(
+    width = F.coalesce(F.try_element_at(known, F.col("model")), lacking.cast("double"))
+    lower = F.greatest(F.col("prediction") - F.col("interval_width"), F.lit(0.0))
+    upper = F.col("prediction") + F.col("interval_width")
+    return predictions.withColumn("interval_width", width).withColumns(
         {
-            "interval_width": width,
             "prediction_lower": lower,
             "prediction_upper": upper,
             "interval_covered": F.col("demand").between(lower, upper),

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from shelfcast.functions import contracts, metrics
 from shelfcast.functions.numeric import fixed
 from shelfcast.functions.timegrid import date_span
-from shelfcast.functions.workspace import new_folder
+from shelfcast.functions.workspace import materialize, new_folder
 from shelfcast.operators import (
     benchmark, cleaning, eda, errors, intervals, models, monitoring, panel, policy, sales_queries,
     splits,
@@ -376,7 +376,7 @@ register(
     "SELECT * REPLACE (coalesce(price, median(price) OVER (PARTITION BY product_id)) AS price) "
     "FROM raw",
     "raw",
-)(_raw(cleaning.impute_median_price))
+)(_raw(lambda df: cleaning.impute_median_price(materialize(df, "raw"))))
 register(
     "clean_sales", "order_id:i " + SALES_COLUMNS, "SELECT * FROM clean", "clean"
 )(_dated(cleaning.clean_sales))

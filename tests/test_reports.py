@@ -122,6 +122,8 @@ def test_intervals(spark):
     assert m.coverage_pct == pytest.approx(200 / 3) and m.mean_interval_width == pytest.approx(11 / 3)
     with pytest.raises(ValueError):
         intervals.require_widths(df, widths.where("model = 'other'"))
+    with pytest.raises(Exception, match="No interval width for model"):
+        intervals.prediction_intervals(df, widths.where("model = 'other'")).collect()
 
 
 def test_residual_quantile(spark):
