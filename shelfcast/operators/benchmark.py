@@ -9,7 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.functions.contracts import assert_unique_key, require_columns
+from shelfcast.functions.contracts import assert_unique_key, duplicate_keys, require_columns
 from shelfcast.functions.metrics import evaluate_benchmark
 from shelfcast.functions.ordered import ranked_values
 from shelfcast.functions.workspace import materialize, replace
@@ -17,6 +17,7 @@ from shelfcast.operators.models import BOOSTING, NAIVE, boosting_fitter
 from shelfcast.operators.panel import lag_columns, rolling_columns
 from shelfcast.operators.splits import BENCHMARK_HORIZON, Fold, benchmark_folds, final_flag
 
+# Columns of the benchmark files, coded categories and model features.
 SERIES_COLUMNS = ("id", "item_id", "dept_id", "cat_id", "store_id", "state_id")
 CODED = ("item_id", "store_id", "dept_id", "cat_id", "state_id")
 CODES = tuple(name.removesuffix("_id") + "_code" for name in CODED)
@@ -28,6 +29,7 @@ HISTORY_FEATURES = [
 ]
 CALENDAR_FEATURES = ["month", "wday", "is_weekend", "has_event", "event_type_present", "snap"]
 FEATURES = [*HISTORY_FEATURES, *CALENDAR_FEATURES, *CODES]
+# Columns of the prepared table.
 OUTPUT_COLUMNS = [
     *SERIES_COLUMNS, "date", "d", "demand", "weekday", "wday", "month", "year", "wm_yr_wk",
     "is_weekend", "has_event", "event_type_present", "snap", *HISTORY_FEATURES, "is_final_test",
@@ -140,7 +142,11 @@ def quality_gate(daily: DataFrame) -> DataFrame:
 
 def require_quality(daily: DataFrame, n_series: int, n_days: int) -> DataFrame:
     """Return ``daily`` unchanged, or raise naming every count that does not hold."""
-    found = quality_gate(daily).first().asDict()
+    _raise_for_quality(quality_gate(daily).first().asDict(), n_series, n_days)
+    return daily
+
+
+def _raise_for_quality(found: dict[str, int], n_series: int, n_days: int) -> None:
     expected = {
         "n_rows": n_series * n_days, "n_series": n_series, "null_dates": 0, "null_demand": 0,
         "negative_demand": 0, "duplicates": 0,
@@ -148,7 +154,6 @@ def require_quality(daily: DataFrame, n_series: int, n_days: int) -> DataFrame:
     wrong = [f"{k}: {found[k]}; expected {v}" for k, v in expected.items() if found[k] != v]
     if wrong:
         raise ValueError("Benchmark panel failed: " + ", ".join(wrong))
-    return daily
 
 
 def benchmark_features(daily: DataFrame) -> DataFrame:
@@ -170,20 +175,43 @@ def prepare_benchmark(
     weekend: Sequence[int] = (1, 7),
     check: bool = True,
 ) -> DataFrame:
-    """The daily benchmark table with features and the holdout mark."""
+    """The daily benchmark table with features and the holdout mark; one query makes all checks."""
     days = [c for c in wide.columns if c.startswith("d_")]
-    if check:
-        assert_unique_key(calendar, ["d"], "calendar")
-        require_calendar_coverage(calendar, days)
-    long = melt_days(select_series(wide, selected, check), days)
-    daily = join_calendar(join_metadata(long, selected, check), calendar, days)
+    long = melt_days(select_series(wide, selected, check=False), days)
+    daily = join_calendar(join_metadata(long, selected, check=False), calendar, days)
     daily = state_snap(event_flags(daily, weekend))
     if check:
-        require_quality(daily, selected.count(), len(days))
+        _check_inputs(wide, selected, calendar, days, daily)
     last = observed_calendar(calendar, days).agg(F.max("date")).scalar()
     return final_flag(benchmark_features(daily), horizon, last=last).select(*OUTPUT_COLUMNS)
 
 
+def _check_inputs(
+    wide: DataFrame, selected: DataFrame, calendar: DataFrame, days: Sequence[str], daily: DataFrame
+) -> None:
+    """Raise for repeated or absent series and days, and for a panel with gaps or bad numbers."""
+    repeated = F.struct(F.count("*").alias("n"), F.min("key").alias("key"))
+    lone = selected.select("id").join(wide.select("id"), "id", "left_anti").withColumnRenamed("id", "key")
+    found = wide.sparkSession.range(1).select(
+        *[
+            duplicate_keys(df, [key]).withColumnRenamed(key, "key").agg(repeated).scalar().alias(name)
+            for name, df, key in (("days", calendar, "d"), ("series", selected, "id"))
+        ],
+        lone.agg(repeated).scalar().alias("absent"),
+        calendar_coverage(calendar, days).select(F.struct("calendar_rows", "calendar_days")).scalar().alias("calendar"),
+        quality_gate(daily).select(F.struct("*")).scalar().alias("gate"),
+        selected.agg(F.struct(F.count("*").alias("n"))).scalar().alias("selected"),
+    ).first()
+    for name, key, what in (("days", "d", "calendar"), ("series", "id", "selected series")):
+        if found[name]["n"]:
+            raise ValueError(f"Duplicate {(key,)} in {what}: {found[name]['key']}")
+    if found["absent"]["n"]:
+        raise ValueError(f"Selected series not found: {found['absent']['key']}")
+    if set(found["calendar"]) != {len(days)}:
+        raise ValueError(f"The calendar has {found['calendar']['calendar_rows']} rows for {len(days)} observed days")
+    _raise_for_quality(found["gate"].asDict(), found["selected"]["n"], len(days))
+
+
 def category_codes(series: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, value, code): the place of each value among the sorted values of its column."""
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns]))

@@ -13,6 +13,7 @@ from shelfcast.functions.numeric import ratio
 from shelfcast.functions.ordered import grouped_quantiles
 
 PREDICTION_COLUMNS = ("date", "product_id", "quantity", "prediction")
+# Conditions, drivers and segments of the published reports.
 CONDITIONS = ("promotion", "holiday", "is_weekend")
 DRIVERS = ("price", "promotion", "discount", "holiday", "day_of_week", "month", "is_weekend")
 SEGMENTS = ("promotion", "holiday", "category")

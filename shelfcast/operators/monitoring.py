@@ -12,6 +12,7 @@ from shelfcast.functions.metrics import mae, rmse, smape_zero, wape
 from shelfcast.functions.numeric import numeric
 from shelfcast.operators.cleaning import safe_stat_columns
 
+# Monitored columns, and those that are never negative.
 MONITORED = (
     "demand", "price", "discount", "promotion", "holiday", "lag_1", "lag_7", "lag_14", "lag_28",
 )
