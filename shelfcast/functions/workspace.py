@@ -9,9 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 _MADE: dict[str, list[str]] = {}
 
 
+#: Read where ``spark.checkpoint.dir``, which a running session cannot change, is not set.
+OWN_SETTING = "spark.shelfcast.folder"
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; without the setting there is nowhere to write."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder named by ``spark.checkpoint.dir``; without a setting there is nowhere to write."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(OWN_SETTING, None)
     if not folder:
         raise ValueError("Set spark.checkpoint.dir to a folder that the driver and every executor can reach.")
     return folder.rstrip("/")

@@ -295,3 +295,23 @@ def test_codes_follow_sorted_order_and_mark_missing(spark):
     df = spark.createDataFrame(rows, "id string, item_id string")
     found = {r.id: r.item_code for r in benchmark.encode_categories(df, ["item_id"]).collect()}
     assert found == {"a": 0, "b": 2, "c": -1, "d": 1, "e": 0}
+
+
+def test_a_missing_feature_does_not_fail_the_batch(spark, seasonal):
+    gap = seasonal.withColumn("lag_7", F.when(F.col("date") != F.lit("2025-01-05").cast("date"), F.col("lag_7")))
+    n = gap.where("lag_7 IS NULL").count()
+    assert n
+    boosted = models.predict_demand(gap, models.boosting_fitter(2)(seasonal))
+    assert boosted.where("prediction IS NULL OR prediction < 0").count() == 0
+    scored = models.predict_demand(gap, models.ridge_fitter()(seasonal))
+    assert scored.where("prediction IS NULL").count() == n == scored.where("lag_7 IS NULL AND prediction IS NULL").count()
+    with pytest.raises(ValueError, match="lack a feature"):
+        models.ridge_fitter()(gap)
+
+
+def test_importance_groups_follow_the_rows(spark, seasonal, monkeypatch):
+    model = models.boosting_fitter(2)(seasonal)
+    monkeypatch.setattr(models, "IMPORTANCE_ROWS", 100)
+    found = models.permutation_importance(seasonal, model, repeats=1)
+    values = {r.feature: r.importance for r in found.collect()}
+    assert values["lag_7"] >= 0 and values["holiday"] == pytest.approx(0)
