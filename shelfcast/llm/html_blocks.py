@@ -402,7 +402,11 @@ def training_pages(pages: DataFrame, limit: int = TRAINING_PAGES, url: str = "ur
     """A bounded sample of pages, drawn by a hash of url and page."""
     rows = pages.select(F.col(f"`{page}`").alias("page"), F.xxhash64(F.lit("labeller"), F.col(f"`{url}`"), F.length(F.col(f"`{page}`"))).alias("draw"))
     small = rows.where((F.length("page") > 0) & (F.length("page") <= TRAINING_CHARS))
-    return [r["page"] for r in small.orderBy("draw", "page").limit(limit).collect()]
+    # Only draws are ordered over all tasks; pages beyond the last wanted one stay where they are.
+    last = small.select("draw").orderBy("draw").limit(limit).agg(F.max("draw")).first()[0]
+    if last is None:
+        return []
+    return [r["page"] for r in small.where(F.col("draw") <= last).orderBy("draw", "page").limit(limit).collect()]
 
 
 _NO_PAGES = ["<article>" + "".join(f"<p>{'Some words of a text. ' * (1 + k % 5)}</p>" for k in range(n)) + "</article>" for n in range(3, 23)]
