@@ -26,6 +26,8 @@ from shelfcast.functions.workspace import materialize
 from shelfcast.llm import texts
 
 BUCKETS = 1 << 14
+#: Expected number of labelled rows that the target's model learns from, at most; twice as many ever are.
+TARGET_ROWS = 20_000
 #: Bits of the ordered key that one counting job settles.
 BITS = 12
 
@@ -118,10 +120,13 @@ def resample(docs: DataFrame, target: DataFrame, share: float, seed: int = 5) ->
     return scored.select("doc_id", "log_weight", "gumbel_key", sampled.alias("sampled"))
 
 
-def resample_like_labelled(docs: DataFrame, labels: DataFrame, seed: int = 5) -> DataFrame:
+def resample_like_labelled(docs: DataFrame, labels: DataFrame, seed: int = 5, rows: int = TARGET_ROWS) -> DataFrame:
     """Resample towards the documents labelled good and not toxic; the share is that of good ones among the labelled."""
     marks = labels.select("doc_id", "quality", F.coalesce("toxic", F.lit(0)).alias("toxic")).where("quality IS NOT NULL")
     good = marks.where("quality = 1 AND toxic = 0").select("doc_id").distinct()
+    # A bounded sample, drawn by hash, is broadcast: the texts of the target are found without a shuffle.
+    draw = F.pmod(F.xxhash64(F.lit("target"), "doc_id"), F.lit(1_000_003)) / 1_000_003
+    learned = good.where(draw * F.lit(good.count()) < rows).limit(2 * rows)
     share = marks.agg(F.avg(F.expr("quality = 1").cast("double"))).first()[0]
-    target = docs.select("doc_id", "text").join(good, "doc_id", "left_semi")
+    target = docs.select("doc_id", "text").join(F.broadcast(learned), "doc_id", "left_semi")
     return resample(docs, target, 1.0 if share is None else share, seed)
