@@ -3,9 +3,12 @@
 Urls that a rule decides teach two variable-order Markov models, one of accepted and one of rejected urls.
 The probability of a character after its context interpolates all orders up to ``ORDER`` with
 Witten-Bell weights: the more often a context was seen, and the fewer characters followed it, the more its
-own counts weigh against those of the next shorter one. Contexts and characters are hashed into
-``BUCKETS`` per order, so the models are tables of bounded size, which are broadcast to the characters of
-the distinct urls. The score is the difference of the two log-likelihoods per character. Its threshold is
+own counts weigh against those of the next shorter one. The models are tables by the real strings and
+grow with the urls. The distinct grams of all urls, those that teach and those that are only judged, are
+counted by shuffle and given their two probabilities order by order. What a gram adds to a score is then
+looked up for every place of the distinct urls: in a broadcast table while that has at most ``BROADCAST``
+rows, beyond that the most frequent grams, which would be hot keys, are broadcast and the others shuffled.
+The score is the difference of the two log-likelihoods per character. Its threshold is
 calibrated on a fifth of the ruled urls, which neither model has seen: the cut with the least sum of the
 shares of accepted urls below and rejected ones above it.
 
@@ -17,6 +20,7 @@ a blocking one wins. Other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -25,8 +29,10 @@ from pyspark.sql import functions as F
 from shelfcast.functions.workspace import materialize
 
 ORDER = 4
-#: Rows of each of the models' tables at most; they are broadcast.
-BUCKETS = 1 << 15
+#: A check that hashes grams needs so many buckets to agree with these tables, which have the strings.
+BUCKETS = 1 << 64
+#: Grams whose shares in the score are broadcast at most.
+BROADCAST = 1 << 18
 #: Characters that a context may be followed by, for the lowest order.
 ALPHABET = 256
 #: Width of a score bin in calibration.
@@ -71,62 +77,71 @@ def _characters(url: Column) -> Column:
     return F.concat(F.array_repeat(F.lit(""), ORDER), own)
 
 
-def _bucket(characters: Column, at: Column, back: int, own: bool) -> Column:
-    """Bucket of the ``back`` characters before place ``at``, with or without the one there."""
-    parts = [F.get(characters, at - k) for k in range(back, 0, -1)] + ([F.get(characters, at)] if own else [])
-    return F.pmod(F.xxhash64(F.lit(back), *parts), F.lit(BUCKETS)).cast("int")
+def _grams(urls: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """Columns ``keep`` and, for each character, the gram of it after its context of ``ORDER`` characters.
 
-
-def _places(urls: DataFrame, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` and, for each character, the buckets c0.. of its contexts and g0.. of them with it."""
+    Blanks before the url vanish, so a gram that is shorter than its order begins the url.
+    """
     characters = F.col("characters")
-
-    def buckets(at: Column) -> Column:
-        return F.struct(*[_bucket(characters, at, k, own).alias(f"{name}{k}")
-                          for k in range(ORDER + 1) for name, own in (("c", False), ("g", True))])
-
     n = F.size(characters)
-    places = F.when(n > ORDER, F.transform(F.sequence(F.lit(ORDER), n - 1), buckets))
+    gram = lambda at: F.array_join(F.slice(characters, at, ORDER + 1), "")
+    places = F.when(n > ORDER, F.transform(F.sequence(F.lit(1), n - ORDER), gram))
     cut = urls.select(*keep, _characters(F.col("url")).alias("characters"))
-    return cut.select(*keep, F.explode(places).alias("at")).select(*keep, "at.*")
+    return cut.select(*keep, F.explode(places).alias("gram"))
+
+
+def count_grams(urls: DataFrame) -> DataFrame:
+    """Every gram of the distinct ``urls`` with its places in them and its counts n_allow and n_block.
+
+    ``urls`` has url and, under the name of each side, how often it teaches that model.
+    """
+    counts = [F.sum(s).alias(f"n_{s}") for s in SIDES]
+    return materialize(_grams(urls, SIDES).groupBy("gram").agg(F.count("*").alias("places"), *counts), "url-grams")
 
 
-def count_models(examples: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Counts of both models by order k and bucket: of characters after contexts, and of contexts.
+def log_ratios(grams: DataFrame) -> DataFrame:
+    """(gram, places, ratio): log-probability of the last character as accepted less that as rejected.
 
-    ``examples`` has url and side, allow or block.
+    Of each order come the grams of all urls, also those that no model has seen. A context or a shorter gram
+    meets at most as many grams as there are characters, so no key is hot.
     """
-    pairs = F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"c{k}").alias("context"), F.col(f"g{k}").alias("gram")) for k in range(ORDER + 1)])
-    seen = (
-        _places(examples, ["side"]).select("side", F.explode(pairs).alias("pair"))
-        .groupBy("side", "pair.k", "pair.context", "pair.gram").agg(F.count("*").alias("n"))
-    )
-    seen = materialize(seen, "url-counts")
-    of = lambda side: F.when(F.col("side") == side, F.col("n"))
-    grams = seen.groupBy("k", F.col("gram").alias("bucket")).agg(*[F.sum(of(s)).alias(f"n_{s}") for s in SIDES])
-    contexts = seen.groupBy("k", F.col("context").alias("bucket")).agg(
-        *[F.sum(of(s)).alias(f"total_{s}") for s in SIDES], *[F.count(of(s)).alias(f"kinds_{s}") for s in SIDES])
-    return materialize(grams, "url-grams"), materialize(contexts, "url-contexts")
-
-
-def scores(urls: DataFrame, grams: DataFrame, contexts: DataFrame) -> DataFrame:
+    orders = [grams]
+    for k in range(ORDER - 1, -1, -1):
+        shorter = orders[0].groupBy(F.right("gram", F.lit(k + 1)).alias("gram"))
+        orders.insert(0, materialize(shorter.agg(*[F.sum(f"n_{s}").alias(f"n_{s}") for s in SIDES]), f"url-order-{k}"))
+    last = None
+    for k, own in enumerate(orders):
+        own = own.withColumn("context", F.left("gram", F.length("gram") - 1))
+        totals = [F.sum(f"n_{s}").cast("double").alias(f"total_{s}") for s in SIDES]
+        # An unseen context passes the shorter one's probability on.
+        kinds = [F.greatest(F.count_if(F.col(f"n_{s}") > 0).cast("double"), F.lit(1e-9)).alias(f"kinds_{s}") for s in SIDES]
+        joined = own.join(own.groupBy("context").agg(*totals, *kinds), "context")
+        p = dict.fromkeys(SIDES, F.lit(1.0 / ALPHABET))
+        if last is not None:
+            joined = joined.withColumn("shorter", F.right("gram", F.lit(k))).join(last, "shorter")
+            p = {s: F.col(f"p_{s}") for s in SIDES}
+        p = {s: (F.col(f"n_{s}") + F.col(f"kinds_{s}") * p[s]) / (F.col(f"total_{s}") + F.col(f"kinds_{s}")) for s in SIDES}
+        last = joined.select(F.col("gram").alias("shorter"), *[p[s].alias(f"p_{s}") for s in SIDES])
+    ratio = (F.log(p["allow"]) - F.log(p["block"])).alias("ratio")
+    return materialize(joined.select("gram", "places", ratio), "url-ratios")
+
+
+def scores(urls: DataFrame, ratios: DataFrame, limit: int = BROADCAST) -> DataFrame:
     """(h1, h2, score): log-likelihood as accepted less that as rejected, per character of every url.
 
-    ``urls`` has h1 and h2 beside url. Both tables have at most ``BUCKETS`` rows for an order.
+    ``urls`` has h1 and h2 beside url. At most ``limit`` rows of ``ratios`` are broadcast.
     """
-    joined = _places(urls, ["h1", "h2"])
-    p = dict.fromkeys(SIDES, F.lit(1.0 / ALPHABET))
-    for k in range(ORDER + 1):
-        for name, table in (("g", grams), ("c", contexts)):
-            own = table.where(F.col("k") == k).drop("k")
-            own = own.select([F.col(c).alias(f"{name}{k}" if c == "bucket" else f"{c}{k}") for c in own.columns])
-            joined = joined.join(F.broadcast(own), f"{name}{k}", "left")
-        for s in SIDES:
-            n, total, kinds = (F.coalesce(F.col(f"{c}_{s}{k}").cast("double"), F.lit(0.0)) for c in ("n", "total", "kinds"))
-            # An unseen context passes the shorter one's probability on.
-            kinds = F.greatest(kinds, F.lit(1e-9))
-            p[s] = (n + kinds * p[s]) / (total + kinds)
-    return joined.groupBy("h1", "h2").agg(F.avg(F.log(p["allow"]) - F.log(p["block"])).alias("score"))
+    size = ratios.agg(F.count("*").alias("grams"), F.coalesce(F.sum("places"), F.lit(0)).alias("places")).first()
+    # No more than ``limit`` grams can have this share of all places each.
+    least = 0 if size["grams"] <= limit else size["places"] / limit
+    places = _grams(urls, ["h1", "h2"])
+    often = F.broadcast(ratios.where(F.col("places") >= least).select("gram", "ratio"))
+    found = places.join(often, "gram").select("h1", "h2", "ratio")
+    if least:
+        rare = ratios.where(F.col("places") < least).select("gram", "ratio")
+        others = places.join(often, "gram", "left_anti").join(rare, "gram")
+        found = found.unionByName(others.select("h1", "h2", "ratio"))
+    return found.groupBy("h1", "h2").agg(F.avg("ratio").alias("score"))
 
 
 def threshold(scored: DataFrame) -> DataFrame:
@@ -152,9 +167,9 @@ def judge(pages: DataFrame, rules: list[Rule]) -> DataFrame:
     rows = ruled(pages, rules).select("*", *names)
     kept_back = F.pmod(F.xxhash64(F.lit("calibration"), "url"), F.lit(5)) == 0
     examples = rows.where("ruled IS NOT NULL").withColumnRenamed("ruled", "side")
-    grams, contexts = count_models(examples.where(~kept_back))
-    distinct = rows.groupBy("h1", "h2").agg(F.first("url").alias("url"))
-    found = materialize(scores(distinct, grams, contexts), "url-scores")
+    taught = [F.count_if((F.col("ruled") == s) & ~kept_back).alias(s) for s in SIDES]
+    distinct = materialize(rows.groupBy("h1", "h2").agg(F.first("url").alias("url"), *taught), "url-distinct")
+    found = materialize(scores(distinct, log_ratios(count_grams(distinct))), "url-scores")
     held = examples.where(kept_back).select("h1", "h2", "side").join(found, ["h1", "h2"])
     cut = materialize(threshold(held), "url-threshold")
     scored = rows.join(found, ["h1", "h2"], "left").withColumn("score", F.coalesce("score", F.lit(0.0)))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 import struct
 from collections import Counter
 
@@ -118,3 +119,39 @@ def test_models_tell_hosts_apart(spark):
     rows += [(900, "http://good3.net/en/2444"), (901, "http://spam5.net/de/3222")]
     got = {r["page_id"]: r["verdict"] for r in U.judge(spark.createDataFrame(rows, "page_id long, url string"), catalog.RULES).collect()}
     assert got[900] == "allow" and got[901] == "block"
+
+
+def test_many_grams_stay_apart(spark):
+    """More grams than 32,768, counted under their own strings; whether broadcast or shuffled."""
+    rng = random.Random(5)
+    urls = {"".join(rng.choices("abcdefghij/é", k=rng.randint(1, 60))): side for side in ("allow", "block") for _ in range(1500)}
+    rows = [(k % (1 << 31), k >> 31, u, int(s == "allow"), int(s == "block")) for k, (u, s) in enumerate(urls.items())]
+    table = spark.createDataFrame(rows, "h1 long, h2 long, url string, allow long, block long")
+    counts = {}
+    places = lambda u: [[(k, c[at - k : at], c[at]) for k in range(U.ORDER + 1)] for c in [("",) * U.ORDER + tuple(u)]
+                        for at in range(U.ORDER, len(c))]
+    for side in ("allow", "block"):
+        n = Counter(g for u, s in urls.items() if s == side for place in places(u) for g in place)
+        total, kinds = Counter(), Counter()
+        for (k, context, _), x in n.items():
+            total[k, context] += x
+            kinds[k, context] += 1
+        counts[side] = n, total, kinds
+    assert len({g for n, _, _ in counts.values() for g in n if g[0] == U.ORDER}) > 1 << 15
+
+    def score(u):
+        out = 0.0
+        for place in places(u):
+            p = dict.fromkeys(counts, 1 / U.ALPHABET)
+            for k, context, own in place:
+                for side, (n, total, kinds) in counts.items():
+                    b = max(kinds[k, context], 1e-9)
+                    p[side] = (n[k, context, own] + b * p[side]) / (total[k, context] + b)
+            out += math.log(p["allow"]) - math.log(p["block"])
+        return out / len(u)
+
+    want = {k: score(r[2]) for k, r in enumerate(rows)}
+    ratios = U.log_ratios(U.count_grams(table))
+    for limit in (U.BROADCAST, 100):
+        got = {r["h1"]: r["score"] for r in U.scores(table, ratios, limit).collect()}
+        assert got == pytest.approx(want, abs=1e-9)
