@@ -14,8 +14,8 @@ from shelfcast.functions.workspace import materialize
 from shelfcast.operators import benchmark, models, panel, splits
 from shelfcast.sources import standin
 
-QUERY_ROUNDS = 10  # boosting rounds in registered queries; the library default is 400
-QUERY_TREES = 10  # forest trees in registered queries; the library default is 300
+QUERY_ROUNDS = 400  # boosting rounds in registered queries, the library default
+QUERY_TREES = 300  # forest trees in registered queries, the library default
 _KEPT: dict[tuple[str, str, str], object] = {}
 
 

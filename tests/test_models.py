@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import importlib.util
+import inspect
 
 import numpy as np
 import pytest
@@ -315,3 +317,14 @@ def test_importance_groups_follow_the_rows(spark, seasonal, monkeypatch):
     found = models.permutation_importance(seasonal, model, repeats=1)
     values = {r.feature: r.importance for r in found.collect()}
     assert values["lag_7"] >= 0 and values["holiday"] == pytest.approx(0)
+
+
+def test_registered_queries_train_models_of_the_library_size():
+    """The module as it is written; tests run with fewer rounds and trees."""
+    spec = importlib.util.find_spec("shelfcast.plans.inputs")
+    written = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(written)
+    default = lambda make, name: inspect.signature(make).parameters[name].default
+    assert written.QUERY_ROUNDS == default(models.train_production, "rounds") == default(benchmark.benchmark_cv, "rounds")
+    assert written.QUERY_ROUNDS == default(models.build_models, "rounds")
+    assert written.QUERY_TREES == default(models.build_models, "trees")
