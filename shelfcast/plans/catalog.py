@@ -1409,44 +1409,63 @@ def benchmark_final(spark, folder):
 # Intervals and monitoring ----------------------------------------------------------------------
 
 
-# Widths come from the validation and bounds go around the holdout forecasts of both models; the rows of
-# the naive one, which have an exact reference, are compared.
+# Widths come from the validation and bounds go around the holdout forecasts of both models. The rows of the
+# naive one, which have an exact reference, have queries of their own.
 
 
 def _naive(df: DataFrame, column: str = "model") -> DataFrame:
     return df.where(F.col(column) == models.NAIVE)
 
 
-def _intervals(spark, folder):
-    widths = intervals.interval_width(inputs.benchmark_cv(spark, folder))
-    return intervals.prediction_intervals(inputs.benchmark_final(spark, folder), widths)
+WIDTH_LIST = "model interval_width:6"
+INTERVAL_LIST = (
+    "id date demand:2 prediction:2 model interval_width:6 prediction_lower:6 prediction_upper:6 "
+    "interval_covered"
+)
+COVERAGE_LIST = (
+    "model confidence_level_pct:2 interval_width:6 coverage_pct:6 mean_interval_width:6 "
+    "mean_absolute_error:6 n_observations:i"
+)
 
 
 register(
     "residual_quantile", "residual_quantile:6",
     "SELECT quantile_cont(abs(error), 0.9) AS residual_quantile FROM oof", "oof",
 )(lambda spark, folder: intervals.residual_quantile(inputs.naive_oof(spark, folder)))
+
+
+@register("interval_width", WIDTH_LIST)
+def interval_width(spark, folder):
+    return intervals.interval_width(inputs.benchmark_cv(spark, folder))
+
+
+@register("prediction_intervals", INTERVAL_LIST)
+def prediction_intervals(spark, folder):
+    return intervals.prediction_intervals(inputs.benchmark_final(spark, folder), interval_width(spark, folder))
+
+
+@register("interval_metrics", COVERAGE_LIST)
+def interval_metrics(spark, folder):
+    return intervals.interval_metrics(prediction_intervals(spark, folder))
+
+
 register(
-    "interval_width", "model interval_width:6",
+    "interval_width_naive", WIDTH_LIST,
     "SELECT model, max(rmse) AS interval_width FROM cv GROUP BY model", "cv",
-)(lambda spark, folder: _naive(intervals.interval_width(inputs.benchmark_cv(spark, folder))))
+)(lambda spark, folder: _naive(interval_width(spark, folder)))
 register(
-    "prediction_intervals",
-    "id date demand:2 prediction:2 model interval_width:6 prediction_lower:6 prediction_upper:6 "
-    "interval_covered",
+    "prediction_intervals_naive", INTERVAL_LIST,
     "SELECT * FROM intervals", "intervals",
-)(lambda spark, folder: _naive(_intervals(spark, folder)))
+)(lambda spark, folder: _naive(prediction_intervals(spark, folder)))
 register(
-    "interval_metrics",
-    "model confidence_level_pct:2 interval_width:6 coverage_pct:6 mean_interval_width:6 "
-    "mean_absolute_error:6 n_observations:i",
+    "interval_metrics_naive", COVERAGE_LIST,
     "SELECT model, 90.0 AS confidence_level_pct, max(interval_width) AS interval_width, "
     "avg(CASE WHEN interval_covered THEN 1 ELSE 0 END) * 100 AS coverage_pct, "
     "avg(prediction_upper - prediction_lower) AS mean_interval_width, "
     "avg(abs(demand - prediction)) AS mean_absolute_error, count(*) AS n_observations "
     "FROM intervals GROUP BY model",
     "intervals",
-)(lambda spark, folder: _naive(intervals.interval_metrics(_intervals(spark, folder))))
+)(lambda spark, folder: _naive(interval_metrics(spark, folder)))
 
 STAT_LIST = "missing_count:i negative_count:i mean:6 std:6 min:6 max:6"
 
@@ -1490,12 +1509,24 @@ register(
     "shift_rows", f"check_type metric {STAT_LIST} standardized_mean_shift:6",
     " UNION ALL ".join(_shift_sql(c) for c in monitoring.MONITORED), "monitored",
 )(lambda spark, folder: monitoring.shift_rows(inputs.monitored(spark, folder)))
+
+
+@register("model_performance", f"check_type metric {STAT_LIST} {BENCH_METRICS}")
+def model_performance(spark, folder):
+    return monitoring.model_performance(inputs.benchmark_final(spark, folder))
+
+
+@register("monitoring_report", f"check_type metric {STAT_LIST} standardized_mean_shift:6 {BENCH_METRICS}")
+def monitoring_report(spark, folder):
+    return monitoring.monitoring_report(inputs.monitored(spark, folder), inputs.benchmark_final(spark, folder))
+
+
 register(
-    "model_performance", f"check_type metric {STAT_LIST} {BENCH_METRICS}", PERFORMANCE_SQL,
+    "model_performance_naive", f"check_type metric {STAT_LIST} {BENCH_METRICS}", PERFORMANCE_SQL,
     "predictions",
-)(lambda spark, folder: _naive(monitoring.model_performance(inputs.benchmark_final(spark, folder)), "metric"))
+)(lambda spark, folder: _naive(model_performance(spark, folder), "metric"))
 register(
-    "monitoring_report",
+    "monitoring_report_naive",
     f"check_type metric {STAT_LIST} standardized_mean_shift:6 {BENCH_METRICS}",
     " UNION ALL BY NAME ".join(
         [
@@ -1506,9 +1537,9 @@ register(
     ),
     "monitored predictions",
 )(
-    lambda spark, folder: monitoring.monitoring_report(
-        inputs.monitored(spark, folder), inputs.benchmark_final(spark, folder)
-    ).where((F.col("check_type") != "model_performance") | (F.col("metric") == models.NAIVE))
+    lambda spark, folder: monitoring_report(spark, folder).where(
+        (F.col("check_type") != "model_performance") | (F.col("metric") == models.NAIVE)
+    )
 )
 
 # Trained models: what is exact about their results ---------------------------------------------

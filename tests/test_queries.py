@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from shelfcast.functions.workspace import shared_folder
-from shelfcast.operators import panel
+from shelfcast.operators import models, panel
 from shelfcast.plans import inputs
 from shelfcast.plans.catalog import QUERIES
 from shelfcast.sources import standin
@@ -78,3 +78,13 @@ def test_one_window_node_and_two_shuffles_build_the_features(spark, folder):
 def test_written_tables_go_to_the_shared_folder(spark, folder):
     path = inputs.features(spark, folder).inputFiles()[0]
     assert path.startswith("file://" + shared_folder(spark).removeprefix("file:"))
+
+
+@pytest.mark.parametrize("key", ["interval_width", "prediction_intervals", "interval_metrics", "model_performance", "monitoring_report"])
+def test_intervals_and_monitoring_return_every_model(spark, folder, key):
+    both = {models.NAIVE, models.BOOSTING}
+    whole = QUERIES[key].dataframe(spark, folder)
+    column = "model" if "model" in whole.columns else "metric"
+    found = lambda df: {r[0] for r in df.select(column).distinct().collect()}
+    assert both <= found(whole)
+    assert both & found(QUERIES[f"{key}_naive"].dataframe(spark, folder)) == {models.NAIVE}
