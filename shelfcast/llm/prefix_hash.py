@@ -5,11 +5,15 @@ For a text of code points c_0 .. c_(n-1), H[k] is the sum of c_i * B^i over i <
 of two entries, scaled by a power of B), and a binary search over span lengths locates the longest common
 extension of two places. Concatenations need no new pass: H of ``a + b`` follows from those of a and b.
 
-A fingerprint keeps the length, the whole hash, and the hashes of the prefixes and of the suffixes whose
-lengths are multiples of a power of two, at most ``CELLS`` of each. Two fingerprints are compared at the
-coarser of their steps: binary searches find the longest common prefix and suffix on that grid, and the
-likeness is their joint length as a share of the longer text. Equal texts have equal fingerprints and
-likeness 1; two empty texts have likeness 1, an empty and another one 0.
+A fingerprint keeps the length, the whole hash, the hashes of the prefixes and of the suffixes whose
+lengths are multiples of a power of two, at most ``CELLS`` of each, and length and hash of every span of the
+text between content-defined cuts, so it grows with the text. A cut lies before each window of ``WINDOW``
+characters whose hash is the least of those that start up to ``REACH`` places before and after it; it
+depends on nothing else, so an edit moves only the cuts close to it. Two fingerprints are compared at the
+coarser of their steps: binary searches find the longest common prefix and suffix on that grid. Between
+them, spans that both texts have, wherever they stand, add their lengths. The likeness is the sum as a share
+of the longer text. Equal texts have equal fingerprints and likeness 1; two empty texts have likeness 1, an
+empty and another one 0.
 
 Defined results: null texts are empty; rows are ordered by descending doc_id, then by text, null doc_ids
 last; repeated rows follow one another; a single row is its own next document; other columns are ignored.
@@ -17,7 +21,9 @@ last; repeated rows follow one another; a single row is its own next document; o
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
+from functools import cached_property
 from hashlib import sha256
 
 import numpy as np
@@ -31,8 +37,12 @@ from shelfcast.llm import texts
 PRIMES = (2147483647, 2147483629)
 BASES = (1103515245, 747796405)
 CELLS = 32
-#: Hex digits of a grid cell.
-_DIGITS = 11
+#: Characters of a window, and places on each side of one that begins a span; a power of two.
+WINDOW, REACH = 16, 32
+#: A longer span, as periodic text has without a least window, is cut every so many characters.
+LONGEST = 1 << 10
+#: Hex digits of a grid cell, and of a span's length before its own.
+_DIGITS, _LENGTH = 11, 3
 _BLOCK = 1 << 18
 
 
@@ -75,6 +85,11 @@ class PrefixHashes:
             parts.append((h[start + length] + p - h[start]) % p * down[start] % p)
         return (parts[0] << np.uint64(31)) | parts[1]
 
+    @cached_property
+    def windows(self) -> np.ndarray:
+        """Hashes of all windows by their start."""
+        return self.spans(np.arange(max(0, self.n - WINDOW + 1)), WINDOW)
+
     def equal(self, start: int, other: PrefixHashes, other_start: int, length: int) -> bool:
         return bool(self.spans(start, length) == other.spans(other_start, length))
 
@@ -107,6 +122,31 @@ class Joined:
             parts.append((both[1] + p - both[0]) % p * up.down[k][start] % p)
         return (parts[0] << np.uint64(31)) | parts[1]
 
+    @property
+    def windows(self) -> np.ndarray:
+        """As of one text; only those across the seam are new."""
+        m, j = self.m, self.n - self.m
+        inside, beyond = max(0, m - WINDOW + 1), max(0, j - WINDOW + 1)
+        seam = np.arange(inside, max(inside, min(m, self.n - WINDOW + 1)))
+        return np.concatenate([self.left.windows[:inside], self.spans(seam, WINDOW), self.right.windows[:beyond]])
+
+
+def content_spans(hashes: PrefixHashes | Joined) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and lengths of the spans between content-defined cuts; together they are the whole text."""
+    windows, cuts = hashes.windows, np.zeros(0, np.int64)
+    if len(windows) > 2 * REACH:
+        least, width = windows, 1
+        while width < REACH:
+            least, width = np.minimum(least[:-width], least[width:]), 2 * width
+        own = windows[REACH : len(windows) - REACH]
+        first = (own < least[: len(own)]) & (own <= least[REACH + 1 : REACH + 1 + len(own)])
+        cuts = np.flatnonzero(first) + REACH
+    starts, ends = np.concatenate([[0], cuts]), np.concatenate([cuts, [hashes.n]])
+    pieces = -(-(ends - starts) // LONGEST)
+    piece = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    starts = np.repeat(starts, pieces) + piece * LONGEST
+    return starts, np.minimum(np.repeat(ends, pieces) - starts, LONGEST)
+
 
 def step_of(n: int) -> int:
     """The least power of two of which at most ``CELLS`` multiples are within ``n``."""
@@ -114,17 +154,31 @@ def step_of(n: int) -> int:
 
 
 def fingerprint(hashes: PrefixHashes | Joined) -> str:
-    """``length.whole.prefixes.suffixes`` in hex."""
+    """``length.whole.prefixes.suffixes.spans`` in hex."""
     n = hashes.n
     lengths = np.arange(1, n // step_of(n) + 1) * step_of(n)
     cells = np.concatenate([hashes.spans(np.zeros(len(lengths), np.int64), lengths), hashes.spans(n - lengths, lengths)])
     digits = [f"{x:016x}"[-_DIGITS:] for x in texts.mix(cells).tolist()]
     half = len(lengths)
-    return f"{n:x}.{int(hashes.spans(0, n)):016x}.{''.join(digits[:half])}.{''.join(digits[half:])}"
+    starts, sizes = content_spans(hashes)
+    named = texts.mix(hashes.spans(starts, sizes)).tolist()
+    spans = "".join([f"{size:0{_LENGTH}x}" + f"{x:016x}"[-_DIGITS:] for size, x in zip(sizes.tolist(), named, strict=True)])
+    return f"{n:x}.{int(hashes.spans(0, n)):016x}.{''.join(digits[:half])}.{''.join(digits[half:])}.{spans}"
+
+
+def _cells(text: str, width: int = _DIGITS) -> list[str]:
+    return [text[k : k + width] for k in range(0, len(text), width)]
 
 
-def _cells(text: str) -> list[str]:
-    return [text[k : k + _DIGITS] for k in range(0, len(text), _DIGITS)]
+def _inside(spans: list[str], start: int, end: int) -> Counter[str]:
+    """The spans that lie between two places."""
+    found, at = [], 0
+    for span in spans:
+        size = int(span[:_LENGTH], 16)
+        if at >= start and at + size <= end:
+            found.append(span)
+        at += size
+    return Counter(found)
 
 
 def _common(a: list[str], b: list[str], step_a: int, step_b: int) -> int:
@@ -142,13 +196,16 @@ def likeness(a: str, b: str) -> float:
     """From 0 to 1, from two fingerprints alone."""
     if a == b:
         return 1.0
-    (na, _, pa_, sa), (nb, _, pb, sb) = a.split("."), b.split(".")
+    (na, _, pa_, sa, ca), (nb, _, pb, sb, cb) = a.split("."), b.split(".")
     na, nb = int(na, 16), int(nb, 16)
     if min(na, nb) == 0:
         return 0.0
     steps = step_of(na), step_of(nb)
     prefix, suffix = _common(_cells(pa_), _cells(pb), *steps), _common(_cells(sa), _cells(sb), *steps)
-    return min(prefix + suffix, min(na, nb)) / max(na, nb)
+    width = _LENGTH + _DIGITS
+    both = _inside(_cells(ca, width), prefix, na - suffix) & _inside(_cells(cb, width), prefix, nb - suffix)
+    between = sum(int(span[:_LENGTH], 16) * times for span, times in both.items())
+    return min(prefix + suffix + between, na, nb) / max(na, nb)
 
 
 def _range_splitters(ids: DataFrame, parts: int) -> list[int]:

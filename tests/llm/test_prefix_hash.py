@@ -45,6 +45,30 @@ def test_likeness():
     assert P.likeness(mark(text), mark("".join(random.Random(4).choices("abcdefgh", k=3000)))) < 0.05
 
 
+def test_scattered_edits_cost_only_their_own_spans():
+    rng, powers = random.Random(6), P.Powers()
+    mark = lambda t: P.fingerprint(P.PrefixHashes(t, powers))
+    text = "".join(rng.choices("abcdefgh ", k=100_000))
+    ends = text[:500] + "?" + text[500:-500] + "!" + text[-500:]
+    assert P.likeness(mark(text), mark(ends)) > 0.95
+    parts = [text[k : k + 5000] for k in range(0, len(text), 5000)]
+    assert P.likeness(mark(text), mark("".join("new" + p[7:] for p in parts))) > 0.9
+    assert P.likeness(mark(text), mark("".join(rng.choices("abcdefgh ", k=100_000)))) < 0.05
+
+
+def test_spans_cover_the_text_also_across_a_seam():
+    rng, powers = random.Random(7), P.Powers()
+    for k in range(40):
+        a, b = ("".join(rng.choices("abé", k=rng.randint(0, 400))) * (k % 3 + 1) + "x" * rng.choice([0, 3000]) for _ in range(2))
+        m, j = rng.randint(0, len(a)), rng.randint(0, min(len(b), rng.choice([5, 4000])))
+        both = P.Joined(P.PrefixHashes(a, powers), m, P.PrefixHashes(b, powers), j)
+        whole = P.PrefixHashes(a[:m] + b[:j], powers)
+        assert P.fingerprint(both) == P.fingerprint(whole)
+        starts, sizes = P.content_spans(whole)
+        assert sizes.sum() == whole.n and list(starts[1:]) == list((starts + sizes)[:-1])
+        assert all(0 < n <= P.LONGEST for n in sizes)
+
+
 def plain(rows):
     """(doc_id, text) in the order of the contract, each with its edited text and the next text."""
     rows = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
