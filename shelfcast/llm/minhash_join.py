@@ -174,20 +174,20 @@ def similar_documents(docs: DataFrame, n: int = N, threshold: Fraction = THRESHO
     classes = components(verdicts.select("a", "b"), "classes")
     links = verdicts.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     known = nodes.select("node", "rep", "members").join(links, "node", "left").join(classes, "node", "left").select(
-        "node", "members", F.col("rep.doc_id").alias("rep_id"), F.coalesce("links", F.lit(0)).alias("n_links"), F.coalesce("root", "node").alias("root"))
-    named = known.groupBy("root").agg(F.min("rep_id").alias("class_id"))
-    classed = known.join(named, "root").select("node", "class_id", "n_links", (F.col("members") - 1).alias("n_copies"))
+        "node", "members", "rep", F.coalesce("links", F.lit(0)).alias("n_links"), F.coalesce("root", "node").alias("root"))
+    named = known.groupBy("root").agg(F.min("rep").alias("least"))
+    classed = known.join(named, "root").select("node", F.col("least.doc_id").alias("class_id"), "least", "n_links", (F.col("members") - 1).alias("n_copies"))
     whole = signed.select("doc_id", "text_hash", "node", "n_grams").join(classed, "node", "left")
     shown = lambda c: F.when(F.col(c) != LAST, F.col(c))
     return whole.select(
         shown("doc_id").alias("doc_id"), "text_hash",
         F.coalesce(shown("class_id"), shown("doc_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("n_copies", F.lit(0)).alias("n_copies"), "n_grams",
-        ((F.col("class_id") == F.col("doc_id")) | F.col("node").isNull()).alias("first"))
+        ((F.struct("doc_id", "text_hash") == F.col("least")) | F.col("node").isNull()).alias("first"))
 
 
 def keep_first(docs: DataFrame, **options) -> DataFrame:
-    """One row of every class: that with the least doc_id; rows of texts without words all stay."""
+    """One row of every class: that with the least doc_id, then text_hash, null doc_ids last; rows of texts without words all stay."""
     judged = materialize(similar_documents(docs, **options).select("doc_id", "text_hash", "first"), "judged")
     later = judged.where(~F.col("first")).select("doc_id", "text_hash").distinct()
     repeated = judged.where("first").groupBy("doc_id", "text_hash").agg(F.count("*").alias("rows")).where("rows > 1")

@@ -78,6 +78,14 @@ def test_one_document_of_each_class_stays(spark, rows):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == want
 
 
+def test_one_near_copy_stays_without_doc_ids_and_under_a_repeated_one(spark):
+    base = [" ".join(f"{c}{k}" for k in range(120)) for c in "abc"]
+    rows = [(doc_id, text + end) for doc_id, text in zip((None, 7, None), base, strict=True) for end in ("", " x", " y", " y")]
+    rows.append((3, base[2] + " z"))
+    kept = M.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["text"][0], r["doc_id"] or 0) for r in kept) == [("a", 0), ("b", 7), ("c", 3)]
+
+
 def test_bands_reach_the_recall():
     bands = M.bands_for()
     assert 1 - (1 - 0.8**M.ROWS) ** bands >= M.RECALL > 1 - (1 - 0.8**M.ROWS) ** (bands - 1)
