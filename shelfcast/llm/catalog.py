@@ -13,11 +13,14 @@ from shelfcast.llm import (
     language_id,
     minhash_join,
     mixing,
+    packing,
     prefix_hash,
     recompression,
     resampling,
+    spelling,
     token_counts,
     url_filter,
+    whitening,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -160,3 +163,23 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     labeller = html_blocks.train(html_blocks.training_pages(pages))
     return html_blocks.extract(pages, labeller, ["page_id", "url"])
+
+
+@registered
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near words, form and root of every word."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every encoded document with their place in a sequence."""
+    pieces = packing.pack(table(spark, sf_dir, "documents"), ["doc_id"])
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@registered
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened leading components of every embedding."""
+    return whitening.whitened(table(spark, sf_dir, "embeddings"), ["vec_id"])
