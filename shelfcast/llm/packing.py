@@ -13,8 +13,9 @@ Every sequence is thus full or a power of two.
 A worker holds less than ``capacity`` tokens a class, and there are about 2 * sqrt(capacity) classes that a length
 can have. Texts are not shuffled.
 
-Words of ASCII white space are encoded once a worker and remembered, up to ``REMEMBERED`` of them; white
-space is dropped by the vocabulary before words are cut, so the ids are those of the whole text.
+The pieces that the vocabulary cuts plain text into are encoded once a worker and remembered, about
+``REMEMBERED`` of them; the vocabulary drops white space and merges nothing across pieces, so the ids are those
+of the whole text. Words with other characters are encoded whole.
 
 Defined results: a null or blank text is the end id alone; repeated rows are packed each; an empty table has no
 pieces; columns besides those named are ignored. Which texts share a sequence follows from the input's
@@ -24,6 +25,7 @@ partitions and their order.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable, Iterator
 from itertools import chain
 from pathlib import Path
@@ -40,36 +42,72 @@ from shelfcast.llm import texts
 VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
 CAPACITY = 2048
 END_ID = 1
-#: Words whose ids a worker remembers before it starts anew.
-REMEMBERED = 200_000
+#: Pieces whose ids a worker remembers before it keeps only those in use.
+REMEMBERED = 300_000
 #: Rows of one batch that is handed on.
 BATCH_ROWS = 4096
 
+#: Fixed value: what ends the last token of a piece.
+WORD_END = "</w>"
+#: Pieces that are encoded in one call.
+TOGETHER = 64
+_BLANK = re.compile(r"[ \t\n\r\x0b\x0c]+")
+#: What no normalisation but lower-casing changes: visible ASCII, the letters U+00C0 to U+00FF, white space.
+_SIMPLE = re.compile(r"[\x21-\x7EÀ-ÖØ-öø-ÿ \t\n\r\x0b\x0c]+")
+#: Fixed value: how this vocabulary cuts such text, lower-cased, before pairs are merged.
+_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ \t\n\r\x0b\x0c]+")
+_PLAIN = re.compile(r"[a-zß-öø-ÿ]+")
+
 #: (document, its ids, first id, ids in the piece)
 Piece = tuple[int, np.ndarray, int, int]
 
 
-def encoder(vocabulary: bytes) -> Callable[[list[bytes | None]], list[list[int]]]:
-    """Ids of texts under a vocabulary file of the tokenizers library."""
+def encoder(vocabulary: bytes) -> Callable[[list[str | None]], list[bytes]]:
+    """Ids of texts, as little-endian 32-bit numbers, under a vocabulary file of the tokenizers library."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(vocabulary.decode())
-    known: dict[bytes, list[int]] = {}
-
-    def encode(group: list[bytes | None]) -> list[list[int]]:
-        words = [texts.plain_words(t) for t in group]
-        new = list(set(chain.from_iterable(words)).difference(known))
-        if len(known) + len(new) > REMEMBERED:
+    last = np.zeros(tokenizer.get_vocab_size(), bool)
+    last[[i for token, i in tokenizer.get_vocab().items() if token.endswith(WORD_END)]] = True
+    known: dict[str, bytes] = {}
+
+    def learn(new: list[str]) -> None:
+        """Add the ids of pieces; plain ones go together, since their last ids tell them apart."""
+        plain = [p for p in new if _PLAIN.fullmatch(p)]
+        groups = [plain[k : k + TOGETHER] for k in range(0, len(plain), TOGETHER)]
+        for group, found in zip(groups, tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(found.ids, "<u4")
+            ends = (np.flatnonzero(last[ids]) + 1) * 4
+            data = ids.tobytes()
+            known.update((p, data[a:b]) for p, a, b in zip(group, [0, *ends[:-1]], ends, strict=True))
+        other = [p for p in new if not _PLAIN.fullmatch(p)]
+        found = tokenizer.encode_batch(other, add_special_tokens=False)
+        known.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(other, found, strict=True))
+
+    def encode(group: list[str | None]) -> list[bytes]:
+        cut = [pieces(t) if t else [] for t in group]
+        used = set(chain.from_iterable(cut))
+        if len(known) > REMEMBERED:
+            kept = {p: known[p] for p in used & known.keys()}
             known.clear()
-            new = list(set(chain.from_iterable(words)))
-        found = tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-        known.update(zip(new, (e.ids for e in found), strict=True))
-        return [list(chain.from_iterable(map(known.__getitem__, w))) for w in words]
+            known.update(kept)
+        learn(list(used.difference(known)))
+        return [b"".join(map(known.__getitem__, p)) for p in cut]
 
     return encode
 
 
+def pieces(text: str) -> list[str]:
+    """Pieces of a text that can be encoded one by one; words that are not plain stay whole."""
+    if _SIMPLE.fullmatch(text) and "<|" not in text:
+        return _PIECE.findall(text.lower())
+    found: list[str] = []
+    for word in filter(None, _BLANK.split(text)):
+        found += _PIECE.findall(word.lower()) if _SIMPLE.fullmatch(word) and "<|" not in word else [word]
+    return found
+
+
 class Bins:
     """The open bins of one worker; methods yield whole sequences, as lists of pieces."""
 
@@ -140,7 +178,7 @@ def pack(docs: DataFrame, keep: list[str], vocabulary: str = VOCABULARY, capacit
     schema = T.StructType([*source.schema.fields[:-1], *fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, bins = encoder(data.value), Bins(capacity)
+        encode, bins, end = encoder(data.value), Bins(capacity), end_id.to_bytes(4, "little")
         place = TaskContext.get().partitionId() << 33
         kinds, rows = None, []
         keys: dict[int, tuple] = {}
@@ -167,10 +205,9 @@ def pack(docs: DataFrame, keep: list[str], vocabulary: str = VOCABULARY, capacit
             if kinds is None:
                 kinds = [*part.schema.types[:-1], pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
             kept = list(zip(*(c.to_pylist() for c in part.columns[:-1]), strict=True)) or [()] * part.num_rows
-            for key, ids in zip(kept, encode(texts.as_bytes(part.columns[-1])), strict=True):
-                ids.append(end_id)
+            for key, ids in zip(kept, encode(part.columns[-1].to_pylist()), strict=True):
                 keys[document] = key
-                take(bins.add(document, np.array(ids, "<u4")))
+                take(bins.add(document, np.frombuffer(ids + end, "<u4")))
                 document += 1
                 if len(rows) >= BATCH_ROWS:
                     yield batch()

@@ -43,7 +43,7 @@ def check(pieces, expected: dict, capacity: int) -> None:
 
 
 ODD = [None, "", " \n\t\x0b\x0c ", "a", "Hello  WORLD", "word " * 3000, "<|endoftext|> x<|startoftext|>", "café é İIΣ Σ",
-       "　a b c", "it's they'll 123 45", "\U0001f600́ ́x", "x" * 5000, "\x1c \x85 end"]
+       "　a b c", "it's they'll 123 45", "\U0001f600́ ́x", "x" * 5000, "\x1c \x85 end", "ÀÉß×÷ÿ ...'s!'S 'RE've x'sand don't' ''d 1a2 <|", "straße ﬁ ½ ²x ªº µm Ÿ", "i\u0307 e\u0301t\u00e9 \x7f\x00x"]
 
 
 def test_odd_texts_and_clashing_columns(spark, whole):
