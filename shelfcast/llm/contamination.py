@@ -17,10 +17,12 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import sha256
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,6 +34,9 @@ WINDOW = 10
 BLOCK_WORDS = 100_000
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
+#: What a pass hands on, from the rows, their word counts, hit spans (flat) and found items.
+Finish = Callable[[pa.Array, list[int], list[list[int]], list[list[str]]], pa.RecordBatch]
+
 
 class SuffixAutomaton:
     """All substrings of the items; ``next``, ``link`` and ``length`` by state, state 0 is the empty string."""
@@ -163,23 +168,28 @@ def automata(benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOC
 def overlaps(docs: DataFrame, benchmark: DataFrame, keep: list[str], window: int = WINDOW,
              block_words: int = BLOCK_WORDS, text: str = "text") -> DataFrame:
     """row (a struct of columns ``keep``), n_words, spans (pairs of word places, flat) and items of every row."""
-    spark = docs.sparkSession
     source = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{text}`").alias("_text"))
     result = T.StructType([
         source.schema["row"], T.StructField("n_words", T.LongType()),
         T.StructField("spans", T.ArrayType(T.LongType())), T.StructField("items", T.ArrayType(T.StringType())),
     ])
+    return _judged(source, benchmark, window, block_words, _listed, result)
+
+
+def _judged(source: DataFrame, benchmark: DataFrame, window: int, block_words: int, finish: Finish, result: T.StructType) -> DataFrame:
+    """``source`` (row, _text) through the automata, and what ``finish`` makes of rows and hits, in one pass."""
+    spark = source.sparkSession
     built = list(_first_two(automata(benchmark, window, block_words)))
     if len(built) == 1:
-        return source.mapInArrow(_scanner(spark.sparkContext.broadcast(built[0]), False), result)
+        return source.mapInArrow(_scanner(spark.sparkContext.broadcast(built[0]), finish), result)
     # Several blocks: each reports the texts it hits under their digest; the reports meet by digest.
-    hit = T.StructType([T.StructField("digest", T.StringType()), *result.fields[-2:]])
+    hit = T.StructType([T.StructField("digest", T.StringType()), T.StructField("spans", T.ArrayType(T.LongType())),
+                        T.StructField("items", T.ArrayType(T.StringType()))])
     digest = F.sha2(F.col("_text"), 256)
     distinct = source.select("_text").where("_text IS NOT NULL").distinct().select(digest.alias("digest"), "_text")
     reports = None
     for automaton in automata(benchmark, window, block_words):
-        scanner = _scanner(spark.sparkContext.broadcast(automaton), True)
-        report = distinct.mapInArrow(scanner, hit)
+        report = distinct.mapInArrow(_scanner(spark.sparkContext.broadcast(automaton), _only_hits), hit)
         reports = report if reports is None else reports.unionByName(report)
     united = reports.groupBy("digest").agg(
         F.flatten(F.collect_list("spans")).alias("spans"),
@@ -188,7 +198,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, keep: list[str], window: int
     empty = SuffixAutomaton([], window)
     counted = source.withColumn("digest", digest).join(united, "digest", "left").select(
         "row", "_text", F.col("spans").alias("_spans"), F.col("items").alias("_items"))
-    return counted.mapInArrow(_scanner(spark.sparkContext.broadcast(empty), False), result)
+    return counted.mapInArrow(_scanner(spark.sparkContext.broadcast(empty), finish), result)
 
 
 def _first_two(found: Iterator[SuffixAutomaton]) -> Iterator[SuffixAutomaton]:
@@ -208,7 +218,7 @@ def _merged(flat: list[int]) -> list[int]:
     return out
 
 
-def _scanner(automaton, only_hits: bool):
+def _scanner(automaton, finish: Finish):
     """A pass over rows; columns _spans and _items, if there, hold what other blocks found."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,17 +232,21 @@ def _scanner(automaton, only_hits: bool):
             if "_spans" in part.schema.names:
                 spans = [_merged(x or []) for x in part.column("_spans").to_pylist()]
                 items = [sorted(x or []) for x in part.column("_items").to_pylist()]
-            kept = [c for c, name in zip(part.columns, part.schema.names, strict=True) if name[0] != "_"]
-            names = [name for name in part.schema.names if name[0] != "_"]
-            tail = [pa.array(spans, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))]
-            if only_hits:
-                out = pa.RecordBatch.from_arrays([*kept, *tail], [*names, "spans", "items"])
-                yield out.filter(pa.array([bool(s) for s in spans], pa.bool_()))
-            else:
-                yield pa.RecordBatch.from_arrays(
-                    [*kept, pa.array(n_words, pa.int64()), *tail], [*names, "n_words", "spans", "items"])
+            yield finish(part.column(0), n_words, spans, items)
+
+    return texts.tidy(run)
+
 
-    return run
+def _listed(row: pa.Array, n_words: list[int], spans: list[list[int]], items: list[list[str]]) -> pa.RecordBatch:
+    """Every row with what was found."""
+    columns = [row, pa.array(n_words, pa.int64()), pa.array(spans, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))]
+    return pa.RecordBatch.from_arrays(columns, ["row", "n_words", "spans", "items"])
+
+
+def _only_hits(digest: pa.Array, n_words: list[int], spans: list[list[int]], items: list[list[str]]) -> pa.RecordBatch:
+    """Rows in which something was found."""
+    columns = [digest, pa.array(spans, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))]
+    return pa.RecordBatch.from_arrays(columns, ["digest", "spans", "items"]).filter(pa.array([bool(x) for x in spans], pa.bool_()))
 
 
 def n_hit() -> Column:
@@ -265,25 +279,36 @@ def remove_passages(docs: DataFrame, benchmark: DataFrame, max_span: int = 0, ma
 
     A document of which more than ``max_coverage`` of the words are hit goes as a whole.
     """
-    found = overlaps(docs, benchmark, docs.columns, window, block_words)
-    left = found.where((F.col("n_words") == 0) | (n_hit() <= F.col("n_words") * F.lit(max_coverage)))
-
     names = docs.columns
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = dict(zip(names, batch.column("row").flatten(), strict=True))
-            column = rows["text"].to_pylist()
-            sizes = rows["n_chars"].to_pylist() if "n_chars" in rows else None
-            for i, spans in enumerate(batch.column("spans").to_pylist()):
-                cut = [x for a, b in zip(spans[::2], spans[1::2], strict=True) if b - a > max_span for x in (a, b)]
-                if cut:
-                    column[i] = cut_words(column[i], cut)
-                    if sizes:
-                        sizes[i] = len(column[i])
-            rows["text"] = pa.array(column, rows["text"].type)
-            if sizes is not None:
-                rows["n_chars"] = pa.array(sizes, rows["n_chars"].type)
-            yield pa.RecordBatch.from_arrays([pa.StructArray.from_arrays(list(rows.values()), fields=list(batch.schema.field("row").type))], ["row"])
-
-    return left.select("row", "spans").mapInArrow(run, T.StructType([left.schema["row"]])).select("row.*")
+    numbered = docs.toDF(*[f"c{k}" for k in range(len(names))])
+    source = numbered.select(F.struct(*numbered.columns).alias("row"), F.col(f"c{names.index('text')}").alias("_text"))
+    sized = names.index("n_chars") if "n_chars" in names else None
+    place = names.index("text")
+
+    def cut(row: pa.Array, n_words: list[int], spans: list[list[int]], items: list[list[str]]) -> pa.RecordBatch:
+        """Rows with shortened texts, without those that are benchmark text for the most part."""
+        hit = [sum(s[1::2]) - sum(s[::2]) for s in spans]
+        left = [k for k, n in enumerate(n_words) if n == 0 or hit[k] <= n * max_coverage]
+        rows = row.take(pa.array(left, pa.int64()))
+        columns = rows.flatten()
+        changed: dict[int, str] = {}
+        for at, k in enumerate(left):
+            pairs = zip(spans[k][::2], spans[k][1::2], strict=True)
+            long = [x for start, end in pairs if end - start > max_span for x in (start, end)]
+            if long:
+                changed[at] = cut_words(columns[place][at].as_py(), long)
+        if changed:
+            columns[place] = _replaced(columns[place], changed)
+            if sized is not None:
+                columns[sized] = _replaced(columns[sized], {at: len(t) for at, t in changed.items()})
+        return pa.RecordBatch.from_arrays([pa.StructArray.from_arrays(columns, fields=list(row.type))], ["row"])
+
+    result = T.StructType([source.schema["row"]])
+    return _judged(source, benchmark, window, block_words, cut, result).select("row.*").toDF(*names)
+
+
+def _replaced(column: pa.Array, values: dict[int, object]) -> pa.Array:
+    """``column`` with new values at some places."""
+    mask = np.zeros(len(column), bool)
+    mask[list(values)] = True
+    return pc.replace_with_mask(column, pa.array(mask), pa.array([values[k] for k in sorted(values)], column.type))

@@ -173,8 +173,8 @@ def _judged(model: LanguageModel, column: pa.Array) -> tuple[list[str], np.ndarr
     known = known & bool(model.languages)
     names, score, unsure = [UNDETERMINED] * len(lowered), np.zeros(len(lowered)), np.zeros(len(lowered), bool)
     places = np.flatnonzero(known)
-    for start in range(0, len(places), 256):
-        some = places[start : start + 256]
+    for start in range(0, len(places), 64):
+        some = places[start : start + 64]
         best, score[some], unsure[some] = model.judge(np.stack([gram_shares(lowered[i]) for i in some]))
         for i, k in zip(some, best, strict=True):
             names[i] = model.languages[k]
@@ -195,7 +195,7 @@ def identify(df: DataFrame, model: LanguageModel, keep: list[str], text: str = "
 
     fields = [*source.schema.fields[:-1], T.StructField("lang_pred", T.StringType()),
               T.StructField("score", T.DoubleType()), T.StructField("ambiguous", T.BooleanType())]
-    return source.mapInArrow(run, T.StructType(fields))
+    return source.mapInArrow(texts.tidy(run), T.StructType(fields))
 
 
 def keep_known(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
@@ -206,6 +206,7 @@ def keep_known(df: DataFrame, model: LanguageModel, text: str = "text") -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in texts.slices(batches, f"c{place}"):
             names, score, unsure = _judged(model, part.column(place))
-            yield part.filter(pa.array((np.array(names) != UNDETERMINED) & ~(unsure & (score < 0.5))))
+            known = np.fromiter((name != UNDETERMINED for name in names), bool, len(names))
+            yield part.filter(pa.array(known & ~(unsure & (score < 0.5))))
 
-    return numbered.mapInArrow(run, numbered.schema).toDF(*df.columns)
+    return numbered.mapInArrow(texts.tidy(run), numbered.schema).toDF(*df.columns)
