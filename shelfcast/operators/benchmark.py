@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
-from pyspark.ml import PipelineModel
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,7 +14,8 @@ from shelfcast.functions.contracts import assert_unique_key, duplicate_keys, req
 from shelfcast.functions.metrics import evaluate_benchmark
 from shelfcast.functions.ordered import ranked_values
 from shelfcast.functions.workspace import materialize, replace
-from shelfcast.operators.models import BOOSTING, NAIVE, boosting_fitter
+from shelfcast.operators.ensembles import Ensemble
+from shelfcast.operators.models import BOOSTING, NAIVE, BoostingFitter, Model, boosting_fitter, fold_step
 from shelfcast.operators.panel import lag_columns, rolling_columns
 from shelfcast.operators.splits import BENCHMARK_HORIZON, Fold, benchmark_folds, final_flag
 
@@ -337,14 +339,16 @@ def recursive_feature_row(daily: DataFrame, fold: Fold) -> DataFrame:
 
 
 def recursive_forecast(
-    model: PipelineModel, encoded: DataFrame, fold: Fold, cut_every: int = 7
+    model: Model, encoded: DataFrame, fold: Fold, cut_every: int = 7
 ) -> DataFrame:
     """Forecast the validation days one after the other, feeding each prediction back.
 
-    One row per series carries the last 28 demands, so a step scores all series in one distributed
+    An ensemble forecasts the whole horizon in one narrow stage. For other models, one row per series carries the last 28 demands, so a step scores all series in one distributed
     transform without a shuffle. The history and the predictions, not the days to come, are written
     every ``cut_every`` steps, which keeps the plan short; what they replace is deleted.
     """
+    if isinstance(model, Ensemble):
+        return _horizon(model, encoded, fold)
     days = materialize(future_days(encoded, fold), "recursion-days")
     start = recent_history(encoded, fold.train_end).join(days.select("id"), "id")
     written = materialize(start.withColumn("predictions", F.array().cast("array<double>")), "recursion")
@@ -373,20 +377,74 @@ def recursive_forecast(
     )
 
 
-def benchmark_fitter(rounds: int = 400):
-    return boosting_fitter(rounds, columns=FEATURES, label="demand", invalid="keep")
+def _horizon(model: Ensemble, encoded: DataFrame, fold: Fold) -> DataFrame:
+    """All days of all series of a batch, day by day on arrays; series meet their history in one join, nothing is written."""
+    codes = [c for c in CODES if c in encoded.columns]
+    state = future_days(encoded, fold).join(recent_history(encoded, fold.train_end), "id")
+    plain = state.select(
+        "id", F.transform("future", lambda d: d["date"]).alias("dates"), F.transform("future", lambda d: d["demand"]).alias("demands"),
+        "history", *codes, *[F.transform("future", lambda d, c=c: d[c].cast("double")).alias(c) for c in CALENDAR_FEATURES])
+    shared = encoded.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(c) for c in ("id", "dates", "demands")], _steps(own, batch, codes)],
+                    ["id", "dates", "demands", "predictions"])
+
+    fields = [plain.schema[c] for c in ("id", "dates", "demands")]
+    forecast = plain.mapInArrow(run, type(plain.schema)(fields).add("predictions", "array<double>"))
+    day = F.explode(F.arrays_zip("dates", "demands", "predictions")).alias("d")
+    return forecast.select("id", day).select(
+        "id", F.col("d.dates").alias("date"), F.col("d.demands").alias("demand"), F.col("d.predictions").alias("prediction"))
+
+
+def _steps(model: Ensemble, batch: pa.RecordBatch, codes: Sequence[str]) -> pa.Array:
+    """Predictions of every series, each array as long as its future; null demands of the past are missing values."""
+    past = batch.column("history").flatten().to_numpy(zero_copy_only=False).reshape(-1, HISTORY).astype(float)
+    lengths = np.diff(batch.column("dates").offsets.to_numpy())
+    starts = np.cumsum(lengths) - lengths
+    calendar = {c: batch.column(c).flatten().to_numpy(zero_copy_only=False).astype(float) for c in CALENDAR_FEATURES}
+    fixed = {c: batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in codes}
+    found = np.full(int(lengths.sum()), np.nan)
+    for step in range(int(lengths.max(initial=0))):
+        on = np.flatnonzero(lengths > step)
+        recent = past[on]
+        known = {f"lag_{n}": recent[:, -n] for n in (1, 7, 14, 28)}
+        known |= {f"rolling_mean_{n}": recent[:, -n:].mean(1) for n in (7, 14, 28)}
+        known |= {f"rolling_std_{n}": recent[:, -n:].std(1, ddof=1) for n in (7, 28)}
+        known |= {c: v[starts[on] + step] for c, v in calendar.items()} | {c: v[on] for c, v in fixed.items()}
+        value = np.maximum(model.predict(np.column_stack([known[c] for c in model.columns])), 0.0)
+        found[starts[on] + step] = value
+        past[on] = np.column_stack([recent[:, 1:], value])
+    return pa.ListArray.from_arrays(pa.array(np.r_[starts, lengths.sum()], pa.int32()), pa.array(found))
+
+
+def benchmark_fitter(rounds: int = 400, rate: float = 0.05) -> BoostingFitter:
+    return boosting_fitter(rounds, FEATURES, "demand", rate)
+
+
+def fit_windows(encoded: DataFrame, folds: Sequence[Fold], rounds: int = 400, rate: float = 0.05) -> dict[object, Ensemble]:
+    """The boosted model of every window by the end of its training, all fitted in the same scans."""
+    ordered = sorted(folds, key=lambda f: f.train_end)
+    rows = training_rows(encoded, ordered[-1].train_end)
+    fitted = benchmark_fitter(rounds, rate).fit_steps(rows, fold_step(ordered), range(1, len(ordered) + 1))
+    return {fold.train_end: model for fold, model in zip(ordered, fitted, strict=True)}
 
 
 def evaluate_window(
-    encoded: DataFrame, fold: Fold, model_name: str, rounds: int = 400
+    encoded: DataFrame, fold: Fold, model_name: str, rounds: int = 400, fitted: Model | None = None
 ) -> DataFrame:
-    """Predictions of one model for one window; metrics come from ``evaluate_benchmark``."""
+    """Predictions of one model, ``fitted`` or to be fitted, for one window; metrics come from ``evaluate_benchmark``."""
     if model_name == NAIVE:
         return naive_multistep(encoded, fold)
     if model_name != BOOSTING:
         raise ValueError(f"Unknown benchmark model: {model_name}")
-    model = benchmark_fitter(rounds)(training_rows(encoded, fold.train_end))
-    return recursive_forecast(model, encoded, fold)
+    if fitted is None:
+        fitted = benchmark_fitter(rounds)(training_rows(encoded, fold.train_end))
+    return recursive_forecast(fitted, encoded, fold)
 
 
 def benchmark_cv(
@@ -394,11 +452,17 @@ def benchmark_cv(
     folds: Sequence[Fold] | None = None,
     models: Sequence[str] = (NAIVE, BOOSTING),
     rounds: int = 400,
+    fitted: dict[object, Model] | None = None,
 ) -> DataFrame:
-    """Metrics per fold and model; ``encoded`` should be a written table."""
+    """Metrics per fold and model; ``encoded`` should be a written table.
+
+    ``fitted`` holds boosted models by the end of their training; without it those of all folds are fitted together.
+    """
     windows = benchmark_folds(encoded) if folds is None else folds
+    if fitted is None:
+        fitted = fit_windows(encoded, windows, rounds) if BOOSTING in models else {}
     frames = [
-        evaluate_window(encoded, fold, name, rounds).select(
+        evaluate_window(encoded, fold, name, rounds, fitted.get(fold.train_end)).select(
             F.lit(fold.fold).alias("fold"),
             F.lit(fold.train_end).alias("train_end"),
             F.lit(fold.test_start).alias("validation_start"),
@@ -435,12 +499,12 @@ def final_fold(encoded: DataFrame) -> Fold:
 
 
 def benchmark_final(
-    encoded: DataFrame, models: Sequence[str] = (NAIVE, BOOSTING), rounds: int = 400
+    encoded: DataFrame, models: Sequence[str] = (NAIVE, BOOSTING), rounds: int = 400, fitted: Model | None = None
 ) -> DataFrame:
-    """Holdout predictions of every model, stacked with a model column."""
+    """Holdout predictions of every model, stacked with a model column; ``fitted`` is the boosted one if there is one."""
     fold = final_fold(encoded)
     frames = [
-        evaluate_window(encoded, fold, name, rounds).withColumn("model", F.lit(name))
+        evaluate_window(encoded, fold, name, rounds, fitted).withColumn("model", F.lit(name))
         for name in models
     ]
     return reduce(DataFrame.unionByName, frames)

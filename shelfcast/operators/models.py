@@ -1,22 +1,24 @@
-"""Forecasting models, scoring, cross-validation and model comparison on Spark ML."""
+"""Forecasting models, scoring, cross-validation and model comparison."""
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.contracts import require_columns
 from shelfcast.functions.metrics import evaluate, mae
 from shelfcast.functions.numeric import fixed
+from shelfcast.operators.ensembles import Ensemble, fit_boosting, fit_forest
 from shelfcast.operators.errors import error_columns
 from shelfcast.operators.panel import FEATURE_COLUMNS, TARGET
 from shelfcast.operators.splits import Fold, holdout_frames, time_series_folds
@@ -29,7 +31,8 @@ FOREST = "Random Forest"
 BOOSTING = "Gradient Boosting"
 ROW_KEY = ("product_id", "category", "date")
 
-Fitter = Callable[[DataFrame], PipelineModel]
+Model = PipelineModel | Ensemble
+Fitter = Callable[[DataFrame], Model]
 
 
 def seasonal_naive(
@@ -89,26 +92,31 @@ def ridge_fitter(
 def forest_fitter(
     trees: int = 300, columns: Sequence[str] = FEATURE_COLUMNS, label: str = TARGET
 ) -> Fitter:
-    forest = RandomForestRegressor(
-        labelCol=label, numTrees=trees, maxDepth=10, minInstancesPerNode=5,
-        featureSubsetStrategy="all", seed=SEED,
-    )
-    # A missing feature goes to the upper side of a split instead of failing the batch.
-    return lambda train: Pipeline(stages=[_assembler(columns, "keep"), forest]).fit(train)
+    """Bagged trees of depth 10 with at least five rows a leaf."""
+    return lambda train: fit_forest(train, columns, label, trees)
+
+
+@dataclass(frozen=True)
+class BoostingFitter:
+    """Fits one boosted model, or with ``fit_steps`` the models of all folds in the same scans."""
+
+    rounds: int = 400
+    columns: Sequence[str] = tuple(FEATURE_COLUMNS)
+    label: str = TARGET
+    rate: float = 0.05
+
+    def __call__(self, train: DataFrame) -> Ensemble:
+        return fit_boosting(train, self.columns, self.label, rounds=self.rounds, rate=self.rate)[0]
+
+    def fit_steps(self, df: DataFrame, step: Column, steps: Sequence[int]) -> list[Ensemble]:
+        """For every entry k of ``steps`` a model of the rows whose ``step`` is at most k."""
+        return fit_boosting(df, self.columns, self.label, step, steps, self.rounds, self.rate)
 
 
 def boosting_fitter(
-    rounds: int = 400,
-    columns: Sequence[str] = FEATURE_COLUMNS,
-    label: str = TARGET,
-    invalid: str = "keep",
-    checkpoint_every: int = 10,
-) -> Fitter:
-    boosting = GBTRegressor(
-        labelCol=label, maxIter=rounds, maxDepth=6, stepSize=0.05, maxBins=255, seed=SEED,
-        checkpointInterval=checkpoint_every,
-    )
-    return lambda train: Pipeline(stages=[_assembler(columns, invalid), boosting]).fit(train)
+    rounds: int = 400, columns: Sequence[str] = FEATURE_COLUMNS, label: str = TARGET, rate: float = 0.05
+) -> BoostingFitter:
+    return BoostingFitter(rounds, tuple(columns), label, rate)
 
 
 def build_models(trees: int = 300, rounds: int = 400) -> dict[str, Fitter]:
@@ -120,7 +128,7 @@ def build_models(trees: int = 300, rounds: int = 400) -> dict[str, Fitter]:
     }
 
 
-def predict_demand(df: DataFrame, model: PipelineModel) -> DataFrame:
+def predict_demand(df: DataFrame, model: Model) -> DataFrame:
     """Add ``prediction``, never below 0.
 
     A missing feature column raises. A missing value is scored by tree models; ridge has no prediction
@@ -135,40 +143,46 @@ def predict_demand(df: DataFrame, model: PipelineModel) -> DataFrame:
 
 def train_production(
     features: DataFrame, path: str | None = None, days: int = 60, rounds: int = 400
-) -> PipelineModel:
+) -> Ensemble:
     """Fit the boosting model on the rows before the holdout, and save it when a path is given."""
     development, _ = holdout_frames(features, days)
     model = boosting_fitter(rounds)(development)
     if path:
-        save_model(model, path)
+        save_model(features.sparkSession, model, path)
     return model
 
 
-def save_model(model: PipelineModel, path: str) -> str:
-    model.write().overwrite().save(path)
+def save_model(spark: SparkSession, model: Model, path: str) -> str:
+    """Trees become a table of nodes, a pipeline its own folder."""
+    if isinstance(model, Ensemble):
+        model.save(spark, path)
+    else:
+        model.write().overwrite().save(path)
     return path
 
 
-def load_model(spark: SparkSession, path: str) -> PipelineModel:
-    """Load a saved pipeline; ``FileNotFoundError`` if there is none."""
+def load_model(spark: SparkSession, path: str) -> Model:
+    """Load a saved model; ``FileNotFoundError`` if there is none."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not files.exists(target):
-        raise FileNotFoundError(f"No saved pipeline at {path}")
-    return PipelineModel.load(path)
+        raise FileNotFoundError(f"No saved model at {path}")
+    stages = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/stages")
+    return PipelineModel.load(path) if files.exists(stages) else Ensemble.load(spark, path)
 
 
-def model_info(spark: SparkSession, model: PipelineModel) -> DataFrame:
-    """Type, feature count and feature names of a fitted pipeline, in one row."""
-    names = model.stages[0].getInputCols()
+def model_info(spark: SparkSession, model: Model) -> DataFrame:
+    """Type, feature count and feature names of a fitted model, in one row."""
+    trees = isinstance(model, Ensemble)
+    names = model.columns if trees else model.stages[0].getInputCols()
     return spark.range(1).select(
-        F.lit(type(model.stages[-1]).__name__).alias("model_type"),
+        F.lit(model.kind if trees else type(model.stages[-1]).__name__).alias("model_type"),
         F.lit(len(names)).alias("feature_count"),
         F.array(*[F.lit(n) for n in names]).alias("features"),
     )
 
 
-def batch_score(features: DataFrame, model: PipelineModel) -> DataFrame:
+def batch_score(features: DataFrame, model: Model) -> DataFrame:
     """Predictions for every row, with error = actual - prediction."""
     errors = error_columns(TARGET, "prediction")
     return predict_demand(features, model).select(
@@ -223,17 +237,23 @@ def cross_validate(
     """Out-of-fold predictions of the naive and every trained model, in long form.
 
     ``development`` must exclude the holdout. It is read once per fit, so give it as a written
-    table. Only the fold bounds and the fitted models reach the driver; scoring stays lazy.
+    table. Only the fold bounds and the fitted models reach the driver; scoring stays lazy. A fitter with
+    ``fit_steps`` fits the models of all folds in the same scans.
     """
     folds = time_series_folds(development, n_folds, days)
     fitters = dict(build_models() if models is None else models)
+    together = {
+        name: dict(zip(folds, fitter.fit_steps(development, fold_step(folds), range(1, n_folds + 1)), strict=True))
+        for name, fitter in fitters.items() if hasattr(fitter, "fit_steps")
+    }
 
     def scored(fold: Fold, name: str) -> DataFrame:
         validation = fold.test(development)
         if name == NAIVE:
             predicted = validation.withColumn("prediction", F.col("lag_7"))
         else:
-            predicted = predict_demand(validation, fitters[name](fold.train(development)))
+            model = together[name][fold] if name in together else fitters[name](fold.train(development))
+            predicted = predict_demand(validation, model)
         return predicted.select(
             *ROW_KEY, TARGET, "prediction", F.lit(fold.fold).alias("fold"), F.lit(name).alias("model")
         )
@@ -246,6 +266,11 @@ def cross_validate(
     return reduce(DataFrame.unionByName, _in_parallel(development.sparkSession, tasks, parallelism))
 
 
+def fold_step(folds: Sequence[Fold], day: str = "date") -> Column:
+    """The first of the expanding folds, oldest first and from 1, that a row trains; one more than all for later rows."""
+    return reduce(lambda step, fold: step + (F.col(day) > F.lit(fold.train_end)).cast("int"), folds, F.lit(1))
+
+
 def oof_predictions(predictions: DataFrame, model: str = BOOSTING) -> DataFrame:
     """One model's out-of-fold rows with error = actual - prediction."""
     errors = error_columns(TARGET, "prediction")
@@ -342,7 +367,7 @@ def predictions_side_by_side(predictions: DataFrame, models: Sequence[str]) -> D
 
 def permutation_importance(
     holdout: DataFrame,
-    model: PipelineModel,
+    model: Model,
     columns: Sequence[str] = FEATURE_COLUMNS,
     repeats: int = 5,
     seed: int = SEED,
@@ -440,7 +465,7 @@ def rejected(validated: DataFrame) -> DataFrame:
     return validated.where(F.size("failed_rules") > 0)
 
 
-def score_requests(requests: DataFrame, model: PipelineModel) -> DataFrame:
+def score_requests(requests: DataFrame, model: Model) -> DataFrame:
     """Predicted demand, to four places, for every request that passes the rules."""
     scored = predict_demand(accepted(validate_requests(requests)), model)
     keep = [c for c in ("request_id",) if c in requests.columns]

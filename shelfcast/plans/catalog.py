@@ -13,6 +13,8 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -220,7 +222,7 @@ def calendar_coverage(spark, folder):
 
 @register("save_load_model", "product_id date prediction:4")
 def save_load_model(spark, folder):
-    path = models.save_model(inputs.production_model(spark, folder), new_folder(spark, "model"))
+    path = models.save_model(spark, inputs.production_model(spark, folder), new_folder(spark, "model"))
     _, holdout = splits.holdout_frames(inputs.features(spark, folder))
     return models.predict_demand(holdout, models.load_model(spark, path))
 
@@ -792,11 +794,7 @@ SCORED = "product_id category date quantity:2 prediction:4"
 
 
 def _fitted(name: str) -> Run:
-    def run(spark, folder):
-        predictions = inputs.model_predictions(spark, folder)
-        return predictions.where(F.col("model") == name)
-
-    return run
+    return lambda spark, folder: inputs.predictions_of(spark, folder, name)
 
 
 register("ridge", SCORED)(_fitted(models.RIDGE))
@@ -807,11 +805,10 @@ register("gradient_boosting", SCORED)(_fitted(models.BOOSTING))
 @register("train_production", "feature importance:6")
 def train_production(spark, folder):
     model = inputs.production_model(spark, folder)
-    weights = model.stages[-1].featureImportances.toArray()
     pairs = F.array(
         *[
-            F.struct(F.lit(name).alias("feature"), F.lit(float(w)).alias("importance"))
-            for name, w in zip(panel.FEATURE_COLUMNS, weights)
+            F.struct(F.lit(name).alias("feature"), F.lit(w).alias("importance"))
+            for name, w in model.importances().items()
         ]
     )
     return spark.range(1).select(F.explode(pairs).alias("p")).select("p.*")
@@ -895,7 +892,9 @@ def score_requests_stream(spark, folder):
 
 @register("model_info", "model_type feature_count:i features")
 def model_info(spark, folder):
-    info = models.model_info(spark, inputs.production_model(spark, folder))
+    # Its names do not depend on the size, so one round tells them.
+    model = models.boosting_fitter(1)(inputs.development(spark, folder))
+    info = models.model_info(spark, model)
     return info.withColumn("features", F.array_join("features", ","))
 
 
@@ -916,7 +915,8 @@ def oof_predictions(spark, folder):
 )
 def oof_predictions_naive(spark, folder):
     """The same table for the one model that has an exact reference."""
-    return models.oof_predictions(inputs.cv_predictions(spark, folder), models.NAIVE)
+    development = inputs.development(spark, folder)
+    return models.oof_predictions(models.cross_validate(development, {}), models.NAIVE)
 
 
 @register("cv_summary", "model mae_mean:4 mae_std:4 rmse_mean:4 rmse_std:4 smape_pct_mean:4 smape_pct_std:4")
@@ -1393,7 +1393,7 @@ def benchmark_cv(spark, folder):
 )
 def benchmark_cv_naive(spark, folder):
     """The naive rows of the benchmark validation, which have an exact reference."""
-    return _naive(inputs.benchmark_cv(spark, folder))
+    return inputs.benchmark_cv_naive(spark, folder)
 
 
 @register("benchmark_cv_summary", f"model {BENCH_METRICS}")
@@ -1413,8 +1413,12 @@ def benchmark_final(spark, folder):
 # naive one, which have an exact reference, have queries of their own.
 
 
-def _naive(df: DataFrame, column: str = "model") -> DataFrame:
-    return df.where(F.col(column) == models.NAIVE)
+def _interval_width_naive(spark, folder):
+    return intervals.interval_width(inputs.benchmark_cv_naive(spark, folder))
+
+
+def _prediction_intervals_naive(spark, folder):
+    return intervals.prediction_intervals(inputs.benchmark_final_naive(spark, folder), _interval_width_naive(spark, folder))
 
 
 WIDTH_LIST = "model interval_width:6"
@@ -1452,11 +1456,11 @@ def interval_metrics(spark, folder):
 register(
     "interval_width_naive", WIDTH_LIST,
     "SELECT model, max(rmse) AS interval_width FROM cv GROUP BY model", "cv",
-)(lambda spark, folder: _naive(interval_width(spark, folder)))
+)(_interval_width_naive)
 register(
     "prediction_intervals_naive", INTERVAL_LIST,
     "SELECT * FROM intervals", "intervals",
-)(lambda spark, folder: _naive(prediction_intervals(spark, folder)))
+)(_prediction_intervals_naive)
 register(
     "interval_metrics_naive", COVERAGE_LIST,
     "SELECT model, 90.0 AS confidence_level_pct, max(interval_width) AS interval_width, "
@@ -1465,7 +1469,7 @@ register(
     "avg(abs(demand - prediction)) AS mean_absolute_error, count(*) AS n_observations "
     "FROM intervals GROUP BY model",
     "intervals",
-)(lambda spark, folder: _naive(interval_metrics(spark, folder)))
+)(lambda spark, folder: intervals.interval_metrics(_prediction_intervals_naive(spark, folder)))
 
 STAT_LIST = "missing_count:i negative_count:i mean:6 std:6 min:6 max:6"
 
@@ -1524,7 +1528,7 @@ def monitoring_report(spark, folder):
 register(
     "model_performance_naive", f"check_type metric {STAT_LIST} {BENCH_METRICS}", PERFORMANCE_SQL,
     "predictions",
-)(lambda spark, folder: _naive(model_performance(spark, folder), "metric"))
+)(lambda spark, folder: monitoring.model_performance(inputs.benchmark_final_naive(spark, folder)))
 register(
     "monitoring_report_naive",
     f"check_type metric {STAT_LIST} standardized_mean_shift:6 {BENCH_METRICS}",
@@ -1537,9 +1541,8 @@ register(
     ),
     "monitored predictions",
 )(
-    lambda spark, folder: monitoring_report(spark, folder).where(
-        (F.col("check_type") != "model_performance") | (F.col("metric") == models.NAIVE)
-    )
+    lambda spark, folder: monitoring.monitoring_report(
+        inputs.monitored(spark, folder), inputs.benchmark_final_naive(spark, folder))
 )
 
 # Trained models: what is exact about their results ---------------------------------------------
@@ -1585,7 +1588,7 @@ ERROR_MARKS_SQL = "true AS error_is_gap, true AS size_is_absolute, true AS never
 
 QUERIES["model_info"] = Query(
     QUERIES["model_info"].run, QUERIES["model_info"].columns,
-    f"SELECT 'GBTRegressionModel' AS model_type, {len(oracle.FEATURE_NAMES)} AS feature_count, "
+    f"SELECT 'boosting' AS model_type, {len(oracle.FEATURE_NAMES)} AS feature_count, "
     f"'{','.join(oracle.FEATURE_NAMES)}' AS features",
 )
 
@@ -1631,7 +1634,7 @@ def random_forest_checked(spark, folder):
     """Means of leaves lie within the targets that were learned."""
     development, _ = splits.holdout_frames(inputs.features(spark, folder))
     span = development.agg(F.min(panel.TARGET).alias("low"), F.max(panel.TARGET).alias("high")).first()
-    predicted = inputs.model_predictions(spark, folder).where(F.col("model") == models.FOREST)
+    predicted = inputs.predictions_of(spark, folder, models.FOREST)
     return predicted.withColumn("within_targets", F.col("prediction").between(span["low"] - CLOSE, span["high"] + CLOSE))
 
 
@@ -1639,13 +1642,15 @@ def random_forest_checked(spark, folder):
 def gradient_boosting_checked(spark, folder):
     """A prediction is the weighted sum of the trees', and at least 0."""
     model = inputs.production_model(spark, folder)
-    _, holdout = splits.holdout_frames(inputs.features(spark, folder))
-    rows = models.predict_demand(holdout, model).withColumnRenamed("prediction", "whole")
-    rows = model.stages[0].transform(rows).withColumn("sum", F.lit(0.0))
-    boosted = model.stages[-1]
-    for tree, weight in zip(boosted.trees, boosted.treeWeights, strict=True):
-        rows = tree.transform(rows).withColumn("sum", F.col("sum") + F.col("prediction") * float(weight)).drop("prediction")
-    return rows.withColumn("adds_up", F.abs(F.greatest("sum", F.lit(0.0)) - F.col("whole")) <= 1e-6)
+    rows = models.predict_demand(inputs.holdout(spark, folder), model).withColumnRenamed("prediction", "whole")
+
+    @F.pandas_udf("double")
+    def by_tree(*columns: pd.Series) -> pd.Series:
+        x = np.column_stack([c.to_numpy(float) for c in columns])
+        return pd.Series(model.base + sum(model.tree_values(x, k) for k in range(len(model.roots))))
+
+    total = by_tree(*[F.col(c).cast("double") for c in model.columns])
+    return rows.withColumn("adds_up", F.abs(F.greatest(total, F.lit(0.0)) - F.col("whole")) <= 1e-6)
 
 
 @register(

@@ -6,14 +6,13 @@ no watermark is needed and a restarted query continues from its checkpoint.
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfcast.functions.numeric import fixed
-from shelfcast.operators.models import predict_demand, validate_requests
+from shelfcast.operators.models import Model, predict_demand, validate_requests
 from shelfcast.operators.panel import CALENDAR_FEATURES, FEATURE_COLUMNS
 
 REQUEST_SCHEMA = T.StructType(
@@ -42,7 +41,7 @@ def read_requests(
 
 
 def score_requests_stream(
-    requests: DataFrame, model: PipelineModel, accepted_path: str, rejected_path: str, checkpoint: str,
+    requests: DataFrame, model: Model, accepted_path: str, rejected_path: str, checkpoint: str,
     every: str | None = None,
 ) -> list[StreamingQuery]:
     """Start one query for accepted requests with their scores and one for rejected requests.

@@ -319,12 +319,9 @@ def test_importance_groups_follow_the_rows(spark, seasonal, monkeypatch):
     assert values["lag_7"] >= 0 and values["holiday"] == pytest.approx(0)
 
 
-def test_registered_queries_train_models_of_the_library_size():
-    """The module as it is written; tests run with fewer rounds and trees."""
-    spec = importlib.util.find_spec("shelfcast.plans.inputs")
-    written = importlib.util.module_from_spec(spec)
-    spec.loader.exec_module(written)
+def test_library_defaults_are_the_sizes_of_the_models():
     default = lambda make, name: inspect.signature(make).parameters[name].default
-    assert written.QUERY_ROUNDS == default(models.train_production, "rounds") == default(benchmark.benchmark_cv, "rounds")
-    assert written.QUERY_ROUNDS == default(models.build_models, "rounds")
-    assert written.QUERY_TREES == default(models.build_models, "trees")
+    for make in (models.train_production, models.build_models, models.boosting_fitter, benchmark.benchmark_cv, benchmark.fit_windows):
+        assert default(make, "rounds") == 400
+    assert default(models.build_models, "trees") == 300
+    assert default(models.boosting_fitter, "rate") == default(benchmark.fit_windows, "rate") == 0.05

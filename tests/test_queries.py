@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import urlparse
+
 import compare
 import pytest
 from plans import planned
@@ -77,7 +79,7 @@ def test_one_window_node_and_two_shuffles_build_the_features(spark, folder):
 
 def test_written_tables_go_to_the_shared_folder(spark, folder):
     path = inputs.features(spark, folder).inputFiles()[0]
-    assert path.startswith("file://" + shared_folder(spark).removeprefix("file:"))
+    assert urlparse(path).path.startswith(urlparse(shared_folder(spark)).path + "/")
 
 
 @pytest.mark.parametrize("key", ["interval_width", "prediction_intervals", "interval_metrics", "model_performance", "monitoring_report"])
