@@ -13,17 +13,11 @@ import __spark_entry__ as entry
 from shelfcast.functions.workspace import shared_folder
 from shelfcast.operators import models, panel
 from shelfcast.plans import inputs
-from shelfcast.plans.catalog import QUERIES
+from shelfcast.plans.catalog import QUERIES, TRAINED
 from shelfcast.sources import standin
 
 EXACT = [key for key, query in QUERIES.items() if query.sql]
 MODELS = [key for key, query in QUERIES.items() if not query.sql]
-# Queries that train models before they return a plan.
-TRAINED = {
-    *MODELS, *[k for k in EXACT if k.endswith("_checked")], "oof_predictions_naive", "model_info", "benchmark_cv_naive",
-    "interval_width", "prediction_intervals", "interval_metrics", "model_performance", "monitoring_report",
-    "monitoring_summary_text", "score_requests_stream",
-}
 
 
 @pytest.fixture(scope="module")
