@@ -43,7 +43,7 @@ VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
 CAPACITY = 2048
 END_ID = 1
 #: Pieces whose ids a worker remembers before it keeps only those in use.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 #: Rows of one batch that is handed on.
 BATCH_ROWS = 4096
 
@@ -170,7 +170,8 @@ def pack(docs: DataFrame, keep: list[str], vocabulary: str = VOCABULARY, capacit
 
     ``ids`` are little-endian unsigned 32-bit numbers. The vocabulary is read here and sent along.
     """
-    data = docs.sparkSession.sparkContext.broadcast(Path(vocabulary).read_bytes())
+    # A worker keeps its copy from task to task, and with it the encoder and what that remembers.
+    shared = docs.sparkSession.sparkContext.broadcast({"vocabulary": Path(vocabulary).read_bytes()})
     source = texts.with_id(docs, **{f"k{i}": c for i, c in enumerate(keep)}, _text=text)
     fields = [T.StructField(name, kind) for name, kind in (
         ("start", T.LongType()), ("length", T.LongType()), ("ids", T.BinaryType()), ("doc_tokens", T.LongType()),
@@ -178,7 +179,10 @@ def pack(docs: DataFrame, keep: list[str], vocabulary: str = VOCABULARY, capacit
     schema = T.StructType([*source.schema.fields[:-1], *fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, bins, end = encoder(data.value), Bins(capacity), end_id.to_bytes(4, "little")
+        own = shared.value
+        if "encode" not in own:
+            own["encode"] = encoder(own["vocabulary"])
+        encode, bins, end = own["encode"], Bins(capacity), end_id.to_bytes(4, "little")
         place = TaskContext.get().partitionId() << 33
         kinds, rows = None, []
         keys: dict[int, tuple] = {}
