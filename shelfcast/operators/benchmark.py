@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfcast.functions.contracts import assert_unique_key, duplicate_keys, require_columns
 from shelfcast.functions.metrics import evaluate_benchmark
@@ -381,9 +382,10 @@ def _horizon(model: Ensemble, encoded: DataFrame, fold: Fold) -> DataFrame:
     """All days of all series of a batch, day by day on arrays; series meet their history in one join, nothing is written."""
     codes = [c for c in CODES if c in encoded.columns]
     state = future_days(encoded, fold).join(recent_history(encoded, fold.train_end), "id")
+    future = F.col("future")
     plain = state.select(
-        "id", F.transform("future", lambda d: d["date"]).alias("dates"), F.transform("future", lambda d: d["demand"]).alias("demands"),
-        "history", *codes, *[F.transform("future", lambda d, c=c: d[c].cast("double")).alias(c) for c in CALENDAR_FEATURES])
+        "id", future.getField("date").alias("dates"), future.getField("demand").alias("demands"), "history", *codes,
+        *[future.getField(c).cast("array<double>").alias(c) for c in CALENDAR_FEATURES])
     shared = encoded.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -395,7 +397,7 @@ def _horizon(model: Ensemble, encoded: DataFrame, fold: Fold) -> DataFrame:
                     ["id", "dates", "demands", "predictions"])
 
     fields = [plain.schema[c] for c in ("id", "dates", "demands")]
-    forecast = plain.mapInArrow(run, type(plain.schema)(fields).add("predictions", "array<double>"))
+    forecast = plain.mapInArrow(run, T.StructType([*fields, T.StructField("predictions", T.ArrayType(T.DoubleType()))]))
     day = F.explode(F.arrays_zip("dates", "demands", "predictions")).alias("d")
     return forecast.select("id", day).select(
         "id", F.col("d.dates").alias("date"), F.col("d.demands").alias("demand"), F.col("d.predictions").alias("prediction"))
