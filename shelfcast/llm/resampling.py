@@ -26,8 +26,8 @@ from shelfcast.functions.workspace import materialize
 from shelfcast.llm import texts
 
 BUCKETS = 1 << 14
-#: Expected number of labelled rows that the target's model learns from, at most; twice as many ever are.
-TARGET_ROWS = 20_000
+#: Ids of target rows that are broadcast at once, about; more are counted in as many passes as they need.
+BLOCK_IDS = 1_000_000
 #: Bits of the ordered key that one counting job settles.
 BITS = 12
 
@@ -110,9 +110,28 @@ def last_key(scored: DataFrame, k: int) -> int | None:
     return prefix
 
 
+def target_counts(docs: DataFrame, ids: DataFrame, block_ids: int = BLOCK_IDS) -> np.ndarray:
+    """Bucket counts of all documents whose doc_id is in ``ids``.
+
+    The ids are dealt by hash into blocks of about ``block_ids`` and each block is broadcast in turn, so
+    every target text counts and none is shuffled.
+    """
+    ids = materialize(ids.where("doc_id IS NOT NULL").select("doc_id").distinct(), "target-ids")
+    blocks = max(1, -(-ids.count() // block_ids))
+    block = F.pmod(F.xxhash64(F.lit("target"), "doc_id"), F.lit(blocks))
+    source = docs.select("doc_id", "text")
+    return sum(
+        bucket_counts(source.join(F.broadcast(ids.where(block == b)), "doc_id", "left_semi")) for b in range(blocks))
+
+
 def resample(docs: DataFrame, target: DataFrame, share: float, seed: int = 5) -> DataFrame:
     """doc_id, log_weight, gumbel_key and sampled of every row; ``target`` has the texts to be like."""
-    ratio = log_ratio(bucket_counts(target), bucket_counts(docs))
+    return resample_to_counts(docs, bucket_counts(target), share, seed)
+
+
+def resample_to_counts(docs: DataFrame, target: np.ndarray, share: float, seed: int = 5) -> DataFrame:
+    """As ``resample``, with the target given by its bucket counts."""
+    ratio = log_ratio(target, bucket_counts(docs))
     scored = materialize(scores(docs, ratio, seed), "scores")
     k = round(share * scored.count())
     least = last_key(scored, k)
@@ -120,13 +139,13 @@ def resample(docs: DataFrame, target: DataFrame, share: float, seed: int = 5) ->
     return scored.select("doc_id", "log_weight", "gumbel_key", sampled.alias("sampled"))
 
 
-def resample_like_labelled(docs: DataFrame, labels: DataFrame, seed: int = 5, rows: int = TARGET_ROWS) -> DataFrame:
-    """Resample towards the documents labelled good and not toxic; the share is that of good ones among the labelled."""
+def resample_like_labelled(docs: DataFrame, labels: DataFrame, seed: int = 5, block_ids: int = BLOCK_IDS) -> DataFrame:
+    """Resample towards the documents labelled good and not toxic; the share is that of good ones among the labelled.
+
+    A document under several labels is in the target if one of them is good and not toxic; documents
+    and labels without a doc_id are in no target.
+    """
     marks = labels.select("doc_id", "quality", F.coalesce("toxic", F.lit(0)).alias("toxic")).where("quality IS NOT NULL")
-    good = marks.where("quality = 1 AND toxic = 0").select("doc_id").distinct()
-    # A bounded sample, drawn by hash, is broadcast: the texts of the target are found without a shuffle.
-    draw = F.pmod(F.xxhash64(F.lit("target"), "doc_id"), F.lit(1_000_003)) / 1_000_003
-    learned = good.where(draw * F.lit(good.count()) < rows).limit(2 * rows)
+    target = target_counts(docs, marks.where("quality = 1 AND toxic = 0"), block_ids)
     share = marks.agg(F.avg(F.expr("quality = 1").cast("double"))).first()[0]
-    target = docs.select("doc_id", "text").join(F.broadcast(learned), "doc_id", "left_semi")
-    return resample(docs, target, 1.0 if share is None else share, seed)
+    return resample_to_counts(docs, target, 1.0 if share is None else share, seed)

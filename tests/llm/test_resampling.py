@@ -58,3 +58,18 @@ def test_labelled_documents_come_apart(spark, folder):
     labels = catalog.table(spark, folder, "labels").where("toxic = 0")
     rate = dict(map(tuple, got.join(labels, "doc_id").groupBy("quality").agg(F.avg(F.col("sampled").cast("int"))).collect()))
     assert rate[1] > 0.9 and rate[1] - rate[0] > 0.4
+
+
+@pytest.mark.parametrize("block_ids", [1, 7, R.BLOCK_IDS])
+def test_every_good_document_teaches_the_target(spark, block_ids):
+    rows = [(k, f"alpha {'beta ' * (k % 3)}{k % 7}") for k in range(40)] + [(3, "again three"), (None, "no id"), (41, None)]
+    marks = [(k, k % 2, int(k % 5 == 0)) for k in range(0, 30)] + [(3, 1, None), (3, 1, 0), (None, 1, 0), (41, 1, None), (5, None, 0), (99, 1, 0)]
+    docs = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, quality int")
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    good = {i for i, q, x in marks if q == 1 and not x and i is not None}
+    ratio = R.log_ratio(plain_counts([t for i, t in rows if i in good]), plain_counts([t for _, t in rows]))
+    got = R.resample_like_labelled(docs, labels, block_ids=block_ids).collect()
+    plain = sorted(float((plain_counts([t]) * ratio).sum()) for _, t in rows)
+    assert sorted(r["log_weight"] for r in got) == pytest.approx(plain)
+    judged = [q for _, q, _ in marks if q is not None]
+    assert sum(r["sampled"] for r in got) == round(sum(judged) / len(judged) * len(rows))
