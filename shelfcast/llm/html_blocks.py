@@ -12,7 +12,8 @@ forms and comments made from the sampled texts, and with telling names dropped a
 
 Defined results: a null or empty page, or one without text, has empty text; scripts, styles, the head and
 what else is never shown is no block; a page without any markup is read as one block; unclosed and stray
-tags are tolerated; repeated rows are judged alike; an empty table gives no rows, and if no page can be
+tags are tolerated: an open head ends at the first tag or text that no head holds, another hidden element at the
+end of an element around it, and one that holds no blocks and is never closed at the next block; repeated rows are judged alike; an empty table gives no rows, and if no page can be
 sampled the made layouts alone teach; other columns are ignored.
 """
 
@@ -40,7 +41,12 @@ _BLOCK_TAGS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td "
     "tfoot th thead tr ul".split())
-_HIDDEN = frozenset("script style noscript template head title svg math iframe object canvas select option datalist textarea button".split())
+_HIDDEN = frozenset("script style noscript template head title svg iframe select option datalist textarea button".split())
+#: Of these, what may hold itself, and what holds no block: left open, the next block ends it.
+_NESTED = frozenset("svg template".split())
+_NO_BLOCKS = frozenset("svg select option datalist button".split())
+#: Any other tag, or text, ends a head that was left open.
+_IN_HEAD = frozenset("base link meta noscript script style template title".split())
 _RAW = frozenset("script style title textarea iframe".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Opening one of these ends an open element of the same group.
@@ -74,7 +80,16 @@ def leaves(page: str) -> list[Leaf]:
     stack: list[tuple[str, tuple[str, ...]]] = []
     parts: list[str] = []
     linked = in_link = 0
-    at, hidden = 0, []
+    at = 0
+    hidden: list[str] = []  # open elements from the first hidden one on
+    next_end: dict[str, int] = {}
+
+    def ended_after(tag: str, at: int) -> bool:
+        """Whether an end tag follows; the place of the next one is remembered, so a page is searched once."""
+        if next_end.get(tag, -1) < at:
+            found = re.compile(rf"</{tag}[\s/>]", re.I).search(page, at)
+            next_end[tag] = found.start() if found else len(page) + 1
+        return next_end[tag] <= len(page)
 
     def flush() -> None:
         nonlocal linked
@@ -86,6 +101,8 @@ def leaves(page: str) -> list[Leaf]:
 
     def add(raw: str) -> None:
         nonlocal linked
+        if hidden == ["head"] and raw.strip():
+            hidden.clear()
         if raw and not hidden:
             text = entities.unescape(raw)
             parts.append(text)
@@ -115,8 +132,13 @@ def leaves(page: str) -> list[Leaf]:
         if end:
             if hidden:
                 if tag in hidden:
-                    del hidden[hidden.index(tag):]
-            elif tag == "a":
+                    del hidden[len(hidden) - 1 - hidden[::-1].index(tag):]
+                    continue
+                # The end of an element around the hidden one ends both.
+                if hidden[0] == "head" or not any(tag == name for name, _ in stack):
+                    continue
+                hidden.clear()
+            if tag == "a":
                 in_link = max(0, in_link - 1)
             elif tag in _BLOCK_TAGS:
                 flush()
@@ -130,15 +152,16 @@ def leaves(page: str) -> list[Leaf]:
                 if stop:
                     at = page.find(">", at) + 1 or size
             continue
+        if hidden == ["head"] and tag not in _IN_HEAD or hidden and hidden[0] == "head" and tag == "body":
+            hidden.clear()
+        if hidden and tag in _BLOCK_TAGS and tag not in _VOID and hidden[0] in _NO_BLOCKS and not ended_after(hidden[0], at):
+            hidden.clear()
         if hidden:
-            if tag in _HIDDEN and tag not in _VOID and not closed:
+            if tag in _BLOCK_TAGS | _HIDDEN and tag not in _VOID and not closed and (tag in _BLOCK_TAGS | _NESTED or tag not in hidden):
                 hidden.append(tag)
-            elif tag == "body" and hidden[0] == "head":
-                hidden.clear()
-            else:
-                continue
+            continue
         if tag in _HIDDEN:
-            if not closed and (not hidden or hidden[-1] != tag):
+            if not closed:
                 hidden.append(tag)
         elif tag == "br":
             parts.append(" ")

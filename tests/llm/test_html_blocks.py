@@ -27,6 +27,69 @@ def test_blocks_of_odd_pages():
     assert leaf.path == ("div", ".main", ".box", ".side", ".bar", "p", ".note") and leaf.linked == pytest.approx(0.5)
 
 
+@pytest.mark.parametrize(("page", "blocks"), [
+    ("<head><title>x</title><p>text</p>", ["text"]),
+    ("<html><head><meta charset=x><link href=y><title>t</title>\n<!-- c -->\n<h1>a</h1><p>b", ["a", "b"]),
+    ("<head><style>p{}</style> words <p>b", ["words", "b"]),
+    ("<head><noscript><p>no</p></noscript><script>no</script></head><p>b", ["b"]),
+    ("<head><noscript>no<body><p>b", ["b"]),
+    ("<p>a <button>b<p>rest</p>", ["a", "rest"]),
+    ("<p>a <button>b</p><p>rest <button>no</button></p>", ["a", "rest"]),
+    ("<div><button><p>no</p><p>no<p>no</div></button> a</div>", ["a"]),
+    ("<p>a</p><svg><p>rest</p>", ["a", "rest"]),
+    ("<p>a</p><svg><svg><p>no</svg>no</svg><p>rest</p>", ["a", "rest"]),
+    ("<td>a <select><option>no<option>no<hr>no<tr><td>b", ["a", "b"]),
+    ("<div>a <noscript>no</div><p>rest", ["a", "rest"]),
+    ("<p>x <math><mi>y</mi></math> z <object>o</object><canvas>c</canvas></p>", ["x y z oc"]),
+    ("<div>a " * 3 + "<svg>" * 3 + "</div>b", ["a", "a", "a", "b"]),
+])
+def test_what_is_left_open_hides_no_text(page, blocks):
+    assert texts_of(page) == blocks
+
+
+def plain_scores(p, blocks):
+    """The labeller as loops over blocks, gates and inputs."""
+    def sigmoid(z):
+        return 1 / (1 + np.exp(-z))
+
+    rows = []
+    for k, b in enumerate(blocks):
+        words = b.text.lower().split()
+        names = [sum(p["names"][H._hash(x)][d] for x in b.path) for d in range(H.PATH_SIZE)]
+        word = [sum(p["words"][H._hash(w)][d] for w in words) / max(1, len(words)) for d in range(H.WORD_SIZE)]
+        n = max(1, len(blocks) - 1)
+        rows.append([*names, *word, np.log1p(len(b.text)) / 6, b.linked, k / n, float(k == 0), float(k == n),
+                     float(k > 0 and blocks[k - 1].path == b.path), float(b.text[-1:] in ".!?:;…"), min(len(b.path), 20) / 10])
+    states = {}
+    for way, order in (("forth", range(len(rows))), ("back", reversed(range(len(rows))))):
+        w, bias, h, c = p[f"{way}_w"], p[f"{way}_b"], [0.0] * H.HIDDEN, [0.0] * H.HIDDEN
+        for t in order:
+            given = [*rows[t], *h]
+            z = [bias[g] + sum(given[d] * w[d][g] for d in range(len(given))) for g in range(4 * H.HIDDEN)]
+            i, f, o, fresh = (z[g * H.HIDDEN : (g + 1) * H.HIDDEN] for g in range(4))
+            c = [sigmoid(f[u]) * c[u] + sigmoid(i[u]) * np.tanh(fresh[u]) for u in range(H.HIDDEN)]
+            h = [sigmoid(o[u]) * np.tanh(c[u]) for u in range(H.HIDDEN)]
+            states[way, t] = h
+    return [sum(a * x for a, x in zip([*states["forth", t], *states["back", t]], p["out"])) + p["bias"][0] for t in range(len(rows))]
+
+
+def test_extraction_equals_a_plain_labeller(spark, folder):
+    pages = catalog.table(spark, folder, "pages")
+    labeller = H.Labeller(11)
+    some = pages.orderBy("page_id").limit(6)
+    odd = spark.createDataFrame([(-1, "u", None), (-2, "u", ""), (-3, "u", "<ul><li>a b<li>c.</ul><p>d"), (-3, "u", "no markup")], some.schema)
+    both = some.unionByName(odd)
+    plain = {k: v.astype(np.float64).tolist() for k, v in labeller.p.items()}
+    expected = []
+    for r in both.collect():
+        blocks = H.leaves(r["html"] or "")
+        scores = plain_scores(plain, blocks) if blocks else []
+        assert all(abs(x) > 1e-5 for x in scores)
+        expected.append((r["page_id"], " ".join(b.text for b, x in zip(blocks, scores) if x > 0)))
+    got = [(r["page_id"], r["text"]) for r in H.extract(both, labeller, ["page_id", "url"]).collect()]
+    assert sorted(got) == sorted(expected) and any(t for _, t in got)
+
+
 def test_a_long_page_is_read_whole():
     page = "<article>" + "<p>Some words.</p>" * 20_000 + "<p>" + "x " * 200_000 + "</p></article>"
     blocks = H.leaves(page)
