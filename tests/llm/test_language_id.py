@@ -40,6 +40,61 @@ def test_labels_of_held_out_documents_do_not_matter(spark, folder):
     assert one.languages == two.languages and np.array_equal(one.weights, two.weights)
 
 
+def plain_judgement(model, text):
+    """Grams counted one by one, one logistic loss a bit and language, the least loss chosen."""
+    lowered = (text or "").lower()
+    if not any(c.isalpha() for c in lowered):
+        return "und", 0.0, False
+    kept = "".join(c if "a" <= c <= "z" or ord(c) >= 128 else " " for c in lowered)
+    data = (" " + " ".join(w for w in kept.split(" ") if w) + " ").encode()
+    counts = {}
+    for n in range(1, L.LONGEST_GRAM + 1):
+        for i in range(len(data) - n + 1):
+            number = 0
+            for byte in data[i : i + n]:
+                number = (number * 257 + byte + 1) % 2**32
+            bucket = number * 2654435761 % 2**32 >> 20
+            counts[bucket] = counts.get(bucket, 0) + 1
+    total = sum(counts.values())
+    losses = []
+    for k in range(len(model.languages)):
+        loss = 0.0
+        for bit in range(model.code.shape[1]):
+            output = float(model.offsets[bit]) + sum((c / total) ** 0.5 * float(model.weights[g, bit]) for g, c in counts.items())
+            loss += float(model.reliability[k, bit]) * np.log1p(np.exp(-output * int(model.code[k, bit])))
+        losses.append(loss)
+    one, two = sorted(losses)[:2]
+    odds = [np.exp(-(x - one) * model.code.shape[1]) for x in losses]
+    return model.languages[losses.index(one)], 1 / sum(odds), two - one < L.AMBIGUOUS_GAP * two
+
+
+def test_query_equals_a_plain_decoder(spark, folder):
+    docs = catalog.table(spark, folder, "documents")
+    model = L.train(docs)
+    plain = {r["doc_id"]: plain_judgement(model, r["text"]) for r in docs.collect() if len(r["text"] or "") < 4000}
+    assert len(plain) > 100
+    for r in catalog.QUERIES["op2_language_id"](spark, folder).collect():
+        if r["doc_id"] in plain:
+            lang, score, ambiguous = plain[r["doc_id"]]
+            assert (r["lang_pred"], r["ambiguous"]) == (lang, ambiguous) and r["score"] == pytest.approx(score, abs=1e-3)
+
+
+def test_classifiers_reach_the_least_loss():
+    rng = np.random.default_rng(4)
+    x = rng.random((80, 6)).astype(np.float32)
+    sides = np.sign(x @ rng.normal(size=(6, 2)) - 0.1 + rng.normal(0, 0.4, (80, 2))).astype(np.float32)
+    weight = np.ones((80, 1), np.float32)
+
+    def loss(w, b):
+        return np.logaddexp(0, -sides * (x @ w + b)).mean(0)
+
+    w, b = np.zeros((6, 2)), np.zeros(2)
+    for _ in range(30_000):
+        pull = -sides / (1 + np.exp(sides * (x @ w + b))) / len(x)
+        w, b = w - 0.5 * x.T @ pull, b - 0.5 * pull.sum(0)
+    assert (loss(*L._logistic(x, sides, weight)) <= loss(w, b) + 0.01).all()
+
+
 def test_odd_inputs(spark, folder):
     docs = catalog.table(spark, folder, "documents")
     model = L.train(docs)
