@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfcast.functions.workspace import materialize
 from shelfcast.llm import texts
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -40,7 +41,10 @@ def encoder(vocabulary: bytes, pattern: str = PATTERN):
 
 
 def length_histogram(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = PATTERN) -> DataFrame:
-    """(n_tokens, n_docs) of all texts. The vocabulary is read here and sent along, so only the driver needs it."""
+    """(n_tokens, n_docs) of all texts, written once, so that no later branch encodes again.
+
+    The vocabulary is read here and sent along, so only the driver needs it.
+    """
     data = docs.sparkSession.sparkContext.broadcast(Path(vocabulary).read_bytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -51,7 +55,7 @@ def length_histogram(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str
             [pa.array(lengths.keys(), pa.int64()), pa.array(lengths.values(), pa.int64())], ["n_tokens", "n_docs"])
 
     counted = texts.with_id(docs, text="text").mapInArrow(run, "n_tokens long, n_docs long")
-    return counted.groupBy("n_tokens").agg(F.sum("n_docs").alias("n_docs"))
+    return materialize(counted.groupBy("n_tokens").agg(F.sum("n_docs").alias("n_docs")), "lengths")
 
 
 def suffix_sums(histogram: DataFrame) -> DataFrame:
