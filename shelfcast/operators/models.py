@@ -9,9 +9,8 @@ from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +19,7 @@ from shelfcast.functions.metrics import evaluate, mae
 from shelfcast.functions.numeric import fixed
 from shelfcast.operators.ensembles import Ensemble, fit_boosting, fit_forest
 from shelfcast.operators.errors import error_columns
+from shelfcast.operators.linear import LinearModel, fit_ridge
 from shelfcast.operators.panel import FEATURE_COLUMNS, TARGET
 from shelfcast.operators.splits import Fold, holdout_frames, time_series_folds
 
@@ -31,7 +31,7 @@ FOREST = "Random Forest"
 BOOSTING = "Gradient Boosting"
 ROW_KEY = ("product_id", "category", "date")
 
-Model = PipelineModel | Ensemble
+Model = PipelineModel | Ensemble | LinearModel
 Fitter = Callable[[DataFrame], Model]
 
 
@@ -51,42 +51,29 @@ def _assembler(columns: Sequence[str], invalid: str = "error") -> VectorAssemble
     return VectorAssembler(inputCols=list(columns), outputCol="features", handleInvalid=invalid)
 
 
+@dataclass(frozen=True)
+class RidgeFitter:
+    """Fits one ridge model, or with ``fit_steps`` the models of all folds from one scan."""
+
+    alpha: float = 1.0
+    columns: Sequence[str] = tuple(FEATURE_COLUMNS)
+    label: str = TARGET
+    scaled: bool = True
+
+    def __call__(self, train: DataFrame) -> LinearModel:
+        return fit_ridge(train, self.columns, self.label, self.alpha, self.scaled)[0]
+
+    def fit_steps(self, df: DataFrame, step: Column, steps: Sequence[int]) -> list[LinearModel]:
+        """For every entry k of ``steps`` a model of the rows whose ``step`` is at most k."""
+        return fit_ridge(df, self.columns, self.label, self.alpha, self.scaled, step, steps)
+
+
 def ridge_fitter(
     alpha: float = 1.0, columns: Sequence[str] = FEATURE_COLUMNS, label: str = TARGET,
     scaled: bool = True,
-) -> Fitter:
+) -> RidgeFitter:
     """Least squares with penalty ``alpha``, on standardised features unless ``scaled`` is off."""
-
-    def fit(train: DataFrame) -> PipelineModel:
-        gaps = reduce(lambda a, c: a | F.col(c).isNull(), columns, F.lit(False))
-        size = train.agg(
-            F.count("*").alias("rows"), F.stddev_pop(label).alias("spread"), F.count_if(gaps).alias("gaps")
-        ).first()
-        if size["gaps"]:
-            raise ValueError(f"{size['gaps']} training rows lack a feature")
-        # The solver divides the label by its deviation, and the penalty with it. The scaler uses
-        # the sample deviation, so weights of features scaled by the population deviation, which
-        # the penalty is meant for, are smaller by (n - 1) / n in their squares.
-        penalty = alpha / size["rows"] * (size["spread"] or 1.0)
-        if scaled:
-            penalty *= 1 - 1 / size["rows"]
-        stages = [_assembler(columns, "keep")]
-        if scaled:
-            stages[0].setOutputCol("raw_features")
-            stages.append(
-                StandardScaler(
-                    inputCol="raw_features", outputCol="features", withMean=True, withStd=True
-                )
-            )
-        stages.append(
-            LinearRegression(
-                labelCol=label, elasticNetParam=0.0, regParam=penalty,
-                standardization=False, solver="normal",
-            )
-        )
-        return Pipeline(stages=stages).fit(train)
-
-    return fit
+    return RidgeFitter(alpha, tuple(columns), label, scaled)
 
 
 def forest_fitter(
@@ -135,7 +122,7 @@ def predict_demand(df: DataFrame, model: Model) -> DataFrame:
     for it, which is null then.
     """
     require_columns(df, FEATURE_COLUMNS, "features")
-    demand = F.when(~F.isnan("prediction"), F.greatest("prediction", F.lit(0.0)))
+    demand = F.when(F.col("prediction").isNotNull() & ~F.isnan("prediction"), F.greatest("prediction", F.lit(0.0)))
     return model.transform(df).withColumn("prediction", demand).select(
         *df.columns, "prediction"
     )
@@ -153,8 +140,8 @@ def train_production(
 
 
 def save_model(spark: SparkSession, model: Model, path: str) -> str:
-    """Trees become a table of nodes, a pipeline its own folder."""
-    if isinstance(model, Ensemble):
+    """Trees become a table of nodes, a ridge model one of weights, a pipeline its own folder."""
+    if isinstance(model, Ensemble | LinearModel):
         model.save(spark, path)
     else:
         model.write().overwrite().save(path)
@@ -168,15 +155,17 @@ def load_model(spark: SparkSession, path: str) -> Model:
     if not files.exists(target):
         raise FileNotFoundError(f"No saved model at {path}")
     stages = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/stages")
-    return PipelineModel.load(path) if files.exists(stages) else Ensemble.load(spark, path)
+    if files.exists(stages):
+        return PipelineModel.load(path)
+    return (LinearModel if "weight" in spark.read.parquet(path).columns else Ensemble).load(spark, path)
 
 
 def model_info(spark: SparkSession, model: Model) -> DataFrame:
     """Type, feature count and feature names of a fitted model, in one row."""
-    trees = isinstance(model, Ensemble)
-    names = model.columns if trees else model.stages[0].getInputCols()
+    own = isinstance(model, Ensemble | LinearModel)
+    names = model.columns if own else model.stages[0].getInputCols()
     return spark.range(1).select(
-        F.lit(model.kind if trees else type(model.stages[-1]).__name__).alias("model_type"),
+        F.lit(model.kind if own else type(model.stages[-1]).__name__).alias("model_type"),
         F.lit(len(names)).alias("feature_count"),
         F.array(*[F.lit(n) for n in names]).alias("features"),
     )

@@ -15,7 +15,6 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -1611,21 +1610,17 @@ def ridge_checked(spark, folder):
     alpha = 1.0
     development, _ = splits.holdout_frames(inputs.features(spark, folder))
     model = models.ridge_fitter(alpha)(development)
-    scored = model.transform(development).withColumn("x", vector_to_array("features"))
+    scored = model.transform(development)
     residual = F.col("prediction") - F.col(panel.TARGET)
-    weights = [float(w) for w in model.stages[-1].coefficients]
-    slopes, scales = [], []
-    for k in range(len(weights) + 1):
-        x = F.get("x", F.lit(k)) if k < len(weights) else F.lit(1.0)
-        slopes.append(F.sum(residual * x))
-        scales.append(F.sum(F.abs(F.col(panel.TARGET) * x)))
-    # Weights are those of features scaled by the sample deviation; the penalty is for the population's.
-    size = F.count("*")
-    rows = [
-        F.struct(F.lit(name).alias("feature"),
-                 (F.abs(slope + F.lit(alpha * w) * (1 - 1 / size)) <= 1e-7 * scale).alias("stationary"))
-        for name, w, slope, scale in zip([*panel.FEATURE_COLUMNS, "intercept"], [*weights, 0.0], slopes, scales, strict=True)
-    ]
+    rows = []
+    for name, weight, mean, scale in zip(
+        [*panel.FEATURE_COLUMNS, "intercept"], [*model.weights, 0.0], [*model.mean, 0.0], [*model.scale, 1.0], strict=True
+    ):
+        # The penalty is on weights of standardised features; a constant one has no part in the loss.
+        x = F.lit(1.0) if name == "intercept" else F.lit(0.0) if not scale else (F.col(name) - F.lit(float(mean))) / F.lit(float(scale))
+        slope = F.sum(residual * x) + F.lit(float(alpha * weight * scale))
+        size = F.sum(F.abs(F.col(panel.TARGET) * x))
+        rows.append(F.struct(F.lit(name).alias("feature"), (F.abs(slope) <= 1e-7 * size).alias("stationary")))
     return scored.agg(F.array(*rows).alias("rows")).select(F.explode("rows").alias("r")).select("r.*")
 
 

@@ -74,7 +74,7 @@ def test_ridge_matches_the_closed_form(spark):
     plain = models.ridge_fitter(alpha, ["a", "b"], "y", scaled=False)(train)
     centred = x - x.mean(0)
     raw = np.linalg.solve(centred.T @ centred + alpha * np.eye(2), centred.T @ (y - y.mean()))
-    assert np.allclose(plain.stages[-1].coefficients.toArray(), raw, rtol=1e-6)
+    assert np.allclose(plain.weights, raw, rtol=1e-6)
 
 
 def test_models_beat_the_naive_one_and_never_go_below_zero(seasonal):
