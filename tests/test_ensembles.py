@@ -119,6 +119,57 @@ def test_shuffled_sums_give_the_same_trees(spark, monkeypatch):
     assert np.array_equal(first.threshold, second.threshold) and np.allclose(first.value, second.value)
 
 
+def fetched(df, monkeypatch):
+    """Bytes of every table that reaches the driver from now on."""
+    sizes, kind = [], type(df)
+    original = kind.toArrow
+    def counted(own):
+        found = original(own)
+        sizes.append(found.nbytes)
+        return found
+    monkeypatch.setattr(kind, "toArrow", counted)
+    return sizes
+
+
+@pytest.mark.parametrize("parts", [2, 6])
+def test_the_driver_gets_splits_and_few_sums(spark, monkeypatch, parts):
+    df = spark.createDataFrame(rows_of(600, 6), SCHEMA).repartition(parts)
+    monkeypatch.setattr(E, "DIRECT_BYTES", 200_000)
+    sizes = fetched(df, monkeypatch)
+    # One split a node of 49 bytes: at most 63 a tree of boosting, 1,023 of a forest.
+    E.fit_boosting(df, "abc", "y", F.col("step"), (1, 2, 3), rounds=4, stopping=False)
+    assert len(sizes) > 4 and sum(sizes) < 200_000 + 4 * 3 * (63 + 1) * 60
+    sizes.clear()
+    E.fit_forest(df, "abc", "y", trees=4, together=2)
+    assert len(sizes) > 4 and sum(sizes) < 200_000 + 4 * 1024 * 60
+
+
+def test_fewer_tasks_and_groups_of_one_node_give_the_same_trees(spark, monkeypatch):
+    df = spark.createDataFrame(rows_of(400, 7), SCHEMA).repartition(5)
+    growth = E.Growth(depth=4, leaves=None, rows=3, l2=0.0, bins=16)
+
+    def fits():
+        return [*E.fit_boosting(df, "abc", "y", F.col("step"), (1, 3), rounds=2, growth=SMALL), E.fit_forest(df, "abc", "y", trees=3, growth=growth)]
+
+    first = fits()
+    monkeypatch.setattr(E, "DIRECT_BYTES", 0)
+    monkeypatch.setattr(E, "GROUP_BYTES", 0)
+    second = fits()
+    monkeypatch.setattr(E, "_summed", lambda table: (table.coalesce(2), 2))
+    third = fits()
+    for one, other in (*zip(first, second, strict=True), *zip(first, third, strict=True)):
+        assert np.array_equal(one.feature, other.feature) and np.array_equal(one.threshold, other.threshold)
+        assert np.allclose(one.value, other.value)
+
+
+def test_tasks_that_add_up_follow_the_cluster(spark, monkeypatch):
+    monkeypatch.setattr(E, "SUM_TASKS", 2)
+    most = 4 * spark.sparkContext.defaultParallelism
+    table, tasks = E._summed(spark.range(0, 100, 1, most + 5))
+    assert tasks == most and table.rdd.getNumPartitions() == most and table.count() == 100
+    assert E._summed(spark.range(0, 9, 1, 3))[1] == 3
+
+
 def test_stopping_ends_when_nothing_is_left_to_learn(spark):
     random = np.random.default_rng(5)
     rows = [(float(a), None, 1.0, float(a > 0), 1) for a in random.integers(-2, 3, 600)]
