@@ -13,8 +13,9 @@ Every sequence is thus full or a power of two.
 A worker holds less than ``capacity`` tokens a class, and there are about 2 * sqrt(capacity) classes that a length
 can have. Texts are not shuffled.
 
-The pieces that the vocabulary cuts plain text into are encoded once a worker and remembered, about
-``REMEMBERED`` of them; the vocabulary drops white space and merges nothing across pieces, so the ids are those
+The pieces that the vocabulary cuts plain text into are found for a slice of texts at once. Each distinct one is encoded once a
+worker and remembered, about ``REMEMBERED`` of them in two generations: the older goes when the younger holds half of that,
+and what is met again moves to the younger. The vocabulary drops white space and merges nothing across pieces, so the ids are those
 of the whole text. Words with other characters are encoded whole.
 
 Defined results: a null or blank text is the end id alone; repeated rows are packed each; an empty table has no
@@ -27,7 +28,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable, Iterator
-from itertools import chain
+from itertools import chain, compress, pairwise
 from pathlib import Path
 
 import numpy as np
@@ -42,8 +43,10 @@ from shelfcast.llm import texts
 VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
 CAPACITY = 2048
 END_ID = 1
-#: Pieces whose ids a worker remembers before it keeps only those in use.
-REMEMBERED = 500_000
+#: Pieces whose ids a worker remembers, unless one slice has more.
+REMEMBERED = 1_000_000
+#: Bytes of text that are cut at once, unless a single text is longer.
+SLICE_BYTES = 8 << 20
 #: Rows of one batch that is handed on.
 BATCH_ROWS = 4096
 
@@ -57,6 +60,10 @@ _SIMPLE = re.compile(r"[\x21-\x7EÀ-ÖØ-öø-ÿ \t\n\r\x0b\x0c]+")
 #: Fixed value: how this vocabulary cuts such text, lower-cased, before pairs are merged.
 _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ \t\n\r\x0b\x0c]+")
 _PLAIN = re.compile(r"[a-zß-öø-ÿ]+")
+#: What bytes of simple text, lower-cased, are to these pieces.
+_SPACE, _LETTER, _DIGIT, _OTHER = range(4)
+_KINDS = np.array([_SPACE if c in b"\0 \t\n\r\x0b\x0c" else _LETTER if 97 <= c <= 122 or c >= 128 else _DIGIT if 48 <= c <= 57
+                   else _OTHER for c in range(256)], np.uint8)
 
 #: (document, its ids, first id, ids in the piece)
 Piece = tuple[int, np.ndarray, int, int]
@@ -71,40 +78,94 @@ def encoder(vocabulary: bytes) -> Callable[[list[str | None]], list[bytes]]:
     last = np.zeros(tokenizer.get_vocab_size(), bool)
     last[[i for token, i in tokenizer.get_vocab().items() if token.endswith(WORD_END)]] = True
     known: dict[str, bytes] = {}
+    older: dict[str, bytes] = {}
 
     def learn(new: list[str]) -> None:
         """Add the ids of pieces; plain ones go together, since their last ids tell them apart."""
-        plain = [p for p in new if _PLAIN.fullmatch(p)]
+        plain = list(filter(_PLAIN.fullmatch, new))
         groups = [plain[k : k + TOGETHER] for k in range(0, len(plain), TOGETHER)]
-        for group, found in zip(groups, tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
+        for group, found in zip(groups, tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
             ids = np.array(found.ids, "<u4")
-            ends = (np.flatnonzero(last[ids]) + 1) * 4
+            ends = ((np.flatnonzero(last[ids]) + 1) * 4).tolist()
             data = ids.tobytes()
-            known.update((p, data[a:b]) for p, a, b in zip(group, [0, *ends[:-1]], ends, strict=True))
-        other = [p for p in new if not _PLAIN.fullmatch(p)]
-        found = tokenizer.encode_batch(other, add_special_tokens=False)
+            known.update(zip(group, [data[a:b] for a, b in pairwise([0, *ends])], strict=True))
+        other = [p for p in new if p not in known]
+        found = tokenizer.encode_batch_fast(other, add_special_tokens=False)
         known.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(other, found, strict=True))
 
+    def ids_of(used: list[str]) -> list[bytes]:
+        """The ids of each of these pieces; what is only in ``older`` moves to ``known``."""
+        nonlocal known, older
+        if len(known) > REMEMBERED // 2:
+            known, older = {}, known
+        found = list(map(known.get, used))
+        unknown = [k for k, ids in enumerate(found) if ids is None]
+        missing = [used[k] for k in unknown]
+        known.update((p, ids) for p, ids in zip(missing, map(older.get, missing), strict=True) if ids is not None)
+        learn([p for p in missing if p not in known])
+        for k in unknown:
+            found[k] = known[used[k]]
+        return found
+
     def encode(group: list[str | None]) -> list[bytes]:
-        cut = [pieces(t) if t else [] for t in group]
-        used = set(chain.from_iterable(cut))
-        if len(known) > REMEMBERED:
-            kept = {p: known[p] for p in used & known.keys()}
-            known.clear()
-            known.update(kept)
-        learn(list(used.difference(known)))
-        return [b"".join(map(known.__getitem__, p)) for p in cut]
+        # Simple texts are cut together, the others one by one behind them.
+        simple = [_simple(t or "") for t in group]
+        order = [*compress(range(len(group)), simple), *(k for k, s in enumerate(simple) if not s)]
+        cut, counts = cut_simple([t or "" for t in compress(group, simple)])
+        rest = [pieces(group[k]) for k in order[len(counts):]]
+        if rest:
+            cut = pa.concat_arrays([cut, pa.array(chain.from_iterable(rest), pa.string())])
+            counts = np.r_[counts, [len(p) for p in rest]]
+        coded = cut.dictionary_encode()
+        found = ids_of(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        place = coded.indices.to_numpy()
+        n = sizes[place]
+        ends = np.cumsum(n)
+        at = np.repeat((np.cumsum(sizes) - sizes)[place] - ends + n, n) + np.arange(n.sum())
+        data = np.frombuffer(b"".join(found), "<u4")[at].tobytes()
+        bounds = (4 * np.r_[0, ends][np.r_[0, np.cumsum(counts)]]).tolist()
+        out = [b""] * len(group)
+        for k, (a, b) in zip(order, pairwise(bounds), strict=True):
+            out[k] = data[a:b]
+        return out
 
     return encode
 
 
+def _simple(text: str) -> bool:
+    return "<|" not in text and (not text or _SIMPLE.fullmatch(text) is not None)
+
+
+def cut_simple(group: list[str]) -> tuple[pa.StringArray, np.ndarray]:
+    """The pieces of simple texts, as ``pieces`` cuts each, and how many each has."""
+    # A zero byte ends every text; beyond ASCII only letters are simple.
+    data = np.frombuffer("".join(f"{t}\0" for t in group).lower().encode() + b"\0\0", np.uint8)
+    kind = _KINDS[data]
+    start = (kind != _SPACE) & ((kind == _DIGIT) | (kind != np.r_[np.uint8(_SPACE), kind[:-1]]))
+    # An apostrophe that begins a piece takes some letters with it, and what follows them is a new piece.
+    at = np.flatnonzero(start[:-2] & (data[:-2] == ord("'")))
+    one, two = data[at + 1], data[at + 2]
+    short = np.isin(one, np.frombuffer(b"stmd", np.uint8))
+    long = (one == ord("r")) & (two == ord("e")) | (one == ord("v")) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+    start[at[short | long] + 1] = False
+    after = np.r_[at[short] + 2, at[long] + 3]
+    start[after[kind[after] != _SPACE]] = True
+    kept = kind != _SPACE
+    text = data[kept]
+    bounds = np.r_[np.flatnonzero(start[kept]), len(text)].astype(np.int32)
+    found = pa.StringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds), pa.py_buffer(text))
+    before = np.searchsorted(np.flatnonzero(start), np.flatnonzero(data[:-2] == 0))
+    return found, np.diff(before, prepend=0)
+
+
 def pieces(text: str) -> list[str]:
     """Pieces of a text that can be encoded one by one; words that are not plain stay whole."""
-    if _SIMPLE.fullmatch(text) and "<|" not in text:
+    if _simple(text):
         return _PIECE.findall(text.lower())
     found: list[str] = []
     for word in filter(None, _BLANK.split(text)):
-        found += _PIECE.findall(word.lower()) if _SIMPLE.fullmatch(word) and "<|" not in word else [word]
+        found += _PIECE.findall(word.lower()) if _simple(word) else [word]
     return found
 
 
@@ -205,7 +266,7 @@ def pack(docs: DataFrame, keep: list[str], vocabulary: str = VOCABULARY, capacit
                 place += 1
 
         document = 0
-        for part in texts.slices(batches, "_text"):
+        for part in texts.slices(batches, "_text", SLICE_BYTES):
             if kinds is None:
                 kinds = [*part.schema.types[:-1], pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
             kept = list(zip(*(c.to_pylist() for c in part.columns[:-1]), strict=True)) or [()] * part.num_rows

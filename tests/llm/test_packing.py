@@ -54,6 +54,25 @@ def test_odd_texts_and_clashing_columns(spark, whole):
     assert P.pack(docs.limit(0), ["doc_id"]).collect() == []
 
 
+SIMPLE = st.text(st.sampled_from("abdelmrstv'ABDELMRSTVÀéßÿ1.<| \n\t"), max_size=30).filter(lambda t: "<|" not in t)
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(SIMPLE, max_size=6))
+def test_texts_are_cut_together_as_one_by_one(group):
+    found, counts = P.cut_simple(group)
+    assert found.to_pylist() == [p for t in group for p in P.pieces(t)]
+    assert counts.tolist() == [len(P.pieces(t)) for t in group]
+
+
+def test_forgotten_pieces_and_groups_without_any(whole, monkeypatch):
+    monkeypatch.setattr(P, "REMEMBERED", 8)
+    with open(P.VOCABULARY, "rb") as file:
+        encode = P.encoder(file.read())
+    for group in ([None], ["", None, " "], ODD, ["one two three", None, "caf\u00e9\u3000x"], ODD[::-1], [t for t in ODD if t] * 3):
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in encode(group)] == [whole(t)[:-1] for t in group]
+
+
 def test_repeated_rows_and_null_keys(spark, whole):
     docs = spark.createDataFrame([(None, "one two")] * 3, "doc_id int, text string")
     got = P.pack(docs, ["doc_id"], capacity=8).collect()
