@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from shelfcast.functions.metrics import mae
 from shelfcast.functions.workspace import materialize, new_folder
 from shelfcast.operators import benchmark, models, panel, splits
+from shelfcast.plans import inputs
 from shelfcast.streaming import scoring
 
 START = dt.date(2024, 1, 1)
@@ -325,3 +326,28 @@ def test_library_defaults_are_the_sizes_of_the_models():
         assert default(make, "rounds") == 400
     assert default(models.build_models, "trees") == 300
     assert default(models.boosting_fitter, "rate") == default(benchmark.fit_windows, "rate") == 0.05
+
+
+def test_registered_cross_validation_fits_models_of_full_size(spark, seasonal, monkeypatch):
+    # A module of its own: the other tests have fewer rounds and trees.
+    spec = importlib.util.spec_from_file_location("whole_inputs", inputs.__file__)
+    whole = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(whole)
+    development, _ = splits.holdout_frames(seasonal)
+    monkeypatch.setattr(whole, "development", lambda *_: development)
+    sizes = []
+    boosting, forest = models.fit_boosting, models.fit_forest
+
+    def boosted(df, columns, label, step, steps, rounds, rate):
+        sizes.append((rounds, rate, len(steps)))
+        return boosting(df, columns, label, step, steps, 2, rate)
+
+    def grown(df, columns, label, trees):
+        sizes.append(trees)
+        return forest(df, columns, label, 2)
+
+    monkeypatch.setattr(models, "fit_boosting", boosted)
+    monkeypatch.setattr(models, "fit_forest", grown)
+    found = whole.cv_predictions(spark, "made").groupBy("model", "fold").count().collect()
+    assert sizes == [(400, 0.05, 4), 300, 300, 300, 300]
+    assert len(found) == 16 and {r["count"] for r in found} == {2 * 60}
